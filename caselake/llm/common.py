@@ -8,6 +8,8 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,8 +75,6 @@ def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
 
 def by_size(batches: Iterator[pa.RecordBatch], limit: int, name: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of about ``limit`` bytes of text, one row at least."""
-    import numpy as np
-
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -89,8 +89,6 @@ def by_size(batches: Iterator[pa.RecordBatch], limit: int, name: str = "text") -
 
 def buffer_of(column: pa.Array):
     """(bytes as uint8, row offsets as int64) of a string column; offsets start at 0."""
-    import numpy as np
-
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     buffers = column.buffers()
     if buffers[1] is None or not len(column):
@@ -103,3 +101,20 @@ def buffer_of(column: pa.Array):
 def fold(column: str = "doc_id", modulus: int = 5):
     """crc32 of the id as text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+
+
+def ordered_buckets(rows: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+    """``rows`` with an int column ``bucket`` in 0..n-1 that ascends with ``key``; nulls go to the last.
+
+    The bounds are quantiles of the key: n numbers at most reach the driver.
+    """
+    cuts = rows.approxQuantile(key, [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    bounds = np.unique(np.array(cuts or [], dtype=np.float64).astype(np.int64))
+
+    @F.pandas_udf("int")
+    def place(ids: pd.Series) -> pd.Series:
+        missing = ids.isna()
+        where = np.searchsorted(bounds, ids.fillna(0).to_numpy().astype(np.int64), side="right")
+        return pd.Series(np.where(missing, n - 1, where).astype(np.int32))
+
+    return rows.withColumn("bucket", place(F.col(key).cast("long")))

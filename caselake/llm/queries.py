@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_documents
 from .compression_quality import compression_bands
+from .lz_fingerprint import lz_edit_likeness
 
 
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands(read_documents(spark, sf_dir))
 
 
+def op3_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_edit_likeness(read_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_compression_bands": op2_compression_bands,
+    "op3_lz_fingerprint": op3_lz_fingerprint,
 }
 
 ORACLE_SQL: dict[str, str] = {}
