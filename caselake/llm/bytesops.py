@@ -57,10 +57,11 @@ class SpanHash:
 class Words:
     """Words (runs of bytes that are not space, tab to carriage return) of texts laid end to end."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None):
+        """``inside`` marks the positions that belong to words, if other than the above."""
         solid = np.empty(len(data) + 2, bool)
         solid[0] = solid[-1] = False
-        solid[1:-1] = ~SPACE[data]
+        solid[1:-1] = ~SPACE[data] if inside is None else inside
         first = solid[1:-1] & ~solid[:-2]
         last = solid[1:-1] & ~solid[2:]
         inner = offsets[1:-1]
@@ -101,3 +102,32 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + width, -1)
     return np.cumsum(edge[:n]) > 0
+
+
+_CODES = 0x32400  # no letters are assigned beyond
+_letters: list = []
+
+
+def letter_tables() -> tuple[np.ndarray, np.ndarray]:
+    """(is a letter, lower case) by code point, built once a process."""
+    if not _letters:
+        chars = [chr(i) for i in range(_CODES)]
+        _letters.append(np.array([c.isalpha() for c in chars]))
+        _letters.append(np.array([ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(chars)], np.uint32))
+    return _letters[0], _letters[1]
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same texts as code points and their offsets."""
+    first = (data & 0xC0) != 0x80
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(first, out=before[1:])
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), before[offsets]
+
+
+def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, "Words"]:
+    """Lower-cased code points, and the words that are runs of letters."""
+    is_letter, lower = letter_tables()
+    points, marks = code_points(data, offsets)
+    low = np.minimum(points, _CODES - 1)
+    return np.where(points < _CODES, lower[low], points), Words(points, marks, is_letter[low])

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import read_documents
+from . import language_id, rule_quality, toxicity_cnn
+from .common import fold, read_documents
 from .compression_quality import compression_bands
+from .language_id import held_out
 from .lz_fingerprint import lz_edit_likeness
 
 
+def _labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col(label).cast("int").alias("label"))
+
+
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands(read_documents(spark, sf_dir))
 
@@ -17,9 +24,37 @@ def op3_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_edit_likeness(read_documents(spark, sf_dir))
 
 
+def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are learned from rows whose fold of 5 is not 0."""
+    docs = read_documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = toxicity_cnn.fit(docs, _labels(spark, sf_dir, "toxic").where(fold(modulus=5) != 0))
+    return toxicity_cnn.score(docs, model).select(
+        "doc_id", held_out(fold(modulus=5), 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "language"
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and n-grams are learned from rows whose fold of 4 is not 2."""
+    docs = read_documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = language_id.fit(docs.where(fold(modulus=4) != 2))
+    return language_id.identify(docs, model).select("doc_id", held_out(fold(modulus=4), 2).alias("held_out"), "lang_pred", "score")
+
+
+def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are learned from rows whose fold of 3 is not 1."""
+    docs = read_documents(spark, sf_dir, "doc_id", "text")
+    model = rule_quality.fit(docs, _labels(spark, sf_dir, "quality").where(fold(modulus=3) != 1))
+    return rule_quality.score(docs, model).select(
+        "doc_id", held_out(fold(modulus=3), 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
     "op2_compression_bands": op2_compression_bands,
     "op3_lz_fingerprint": op3_lz_fingerprint,
+    "op6_toxicity_cnn": op6_toxicity_cnn,
+    "op9_language_id": op9_language_id,
+    "op10_rule_quality": op10_rule_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
