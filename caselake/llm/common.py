@@ -103,18 +103,18 @@ def fold(column: str = "doc_id", modulus: int = 5):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
-def ordered_buckets(rows: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
-    """``rows`` with an int column ``bucket`` in 0..n-1 that ascends with ``key``; nulls go to the last.
+def bucket_placer(ids: DataFrame, n: int, key: str = "doc_id"):
+    """A function that adds an int column ``bucket`` in 0..n-1, ascending with ``key``; nulls go to the last.
 
-    The bounds are quantiles of the key: n numbers at most reach the driver.
+    The bounds are quantiles of the key in ``ids``: n numbers at most reach the driver.
     """
-    cuts = rows.approxQuantile(key, [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    cuts = ids.approxQuantile(key, [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
     bounds = np.unique(np.array(cuts or [], dtype=np.float64).astype(np.int64))
 
     @F.pandas_udf("int")
-    def place(ids: pd.Series) -> pd.Series:
-        missing = ids.isna()
-        where = np.searchsorted(bounds, ids.fillna(0).to_numpy().astype(np.int64), side="right")
+    def place(values: pd.Series) -> pd.Series:
+        missing = values.isna()
+        where = np.searchsorted(bounds, values.fillna(0).to_numpy().astype(np.int64), side="right")
         return pd.Series(np.where(missing, n - 1, where).astype(np.int32))
 
-    return rows.withColumn("bucket", place(F.col(key).cast("long")))
+    return lambda rows: rows.withColumn("bucket", place(F.col(key).cast("long")))

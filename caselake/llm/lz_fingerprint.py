@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesops as B
-from .common import ordered_buckets, partitions, text_column
+from .common import bucket_placer, partitions, text_column
 
 SIZE = 64
 EDIT_SCHEMA = (
@@ -155,7 +155,8 @@ def lz_edit_likeness(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited text (its last half replaced by the head of the
     next document), and the likeness of each text to its edited text and to the next document."""
     n = partitions(docs.sparkSession)
-    rows = ordered_buckets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = bucket_placer(docs.select("doc_id"), n)(docs)
     firsts = [(r.bucket, r.doc_id) for r in rows.groupBy("bucket").agg(F.min("doc_id").alias("doc_id")).orderBy("bucket").collect()]
     if not firsts:
         return docs.sparkSession.createDataFrame([], EDIT_SCHEMA)

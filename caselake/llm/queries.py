@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from .common import fold, read_documents
 from .compression_quality import compression_bands
 from .language_id import held_out
 from .lz_fingerprint import lz_edit_likeness
+from .token_files import read_tokens, write_tokens
 
 
 def _labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
@@ -24,6 +26,11 @@ def op3_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_edit_likeness(read_documents(spark, sf_dir))
 
 
+def op4_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary file must lie at the same path on every executor."""
+    return read_tokens(write_tokens(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels are learned from rows whose fold of 5 is not 0."""
     docs = read_documents(spark, sf_dir, "doc_id", "text", "lang")
@@ -52,6 +59,7 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_compression_bands": op2_compression_bands,
     "op3_lz_fingerprint": op3_lz_fingerprint,
+    "op4_simple8b_tokens": op4_simple8b_tokens,
     "op6_toxicity_cnn": op6_toxicity_cnn,
     "op9_language_id": op9_language_id,
     "op10_rule_quality": op10_rule_quality,
