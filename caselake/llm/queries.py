@@ -11,6 +11,8 @@ from .common import fold, read_documents
 from .compression_quality import compression_bands
 from .language_id import held_out
 from .lz_fingerprint import lz_edit_likeness
+from .minhash_dedup import near_duplicates
+from .suffix_dedup import dedup_digest
 from .token_files import read_tokens, write_tokens
 
 
@@ -40,6 +42,14 @@ def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_documents(spark, sf_dir))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_digest(read_documents(spark, sf_dir))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and n-grams are learned from rows whose fold of 4 is not 2."""
     docs = read_documents(spark, sf_dir, "doc_id", "text", "lang")
@@ -61,6 +71,8 @@ QUERIES = {
     "op3_lz_fingerprint": op3_lz_fingerprint,
     "op4_simple8b_tokens": op4_simple8b_tokens,
     "op6_toxicity_cnn": op6_toxicity_cnn,
+    "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
     "op10_rule_quality": op10_rule_quality,
 }
