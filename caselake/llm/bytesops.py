@@ -131,3 +131,9 @@ def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, "Wo
     points, marks = code_points(data, offsets)
     low = np.minimum(points, _CODES - 1)
     return np.where(points < _CODES, lower[low], points), Words(points, marks, is_letter[low])
+
+
+def gather(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that begin at ``first``, end to end."""
+    ends = np.cumsum(size)
+    return values[np.repeat(first - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]

@@ -12,6 +12,7 @@ from .compression_quality import compression_bands
 from .language_id import held_out
 from .lz_fingerprint import lz_edit_likeness
 from .minhash_dedup import near_duplicates
+from .piece_nbest import segment
 from .suffix_dedup import dedup_digest
 from .token_files import read_tokens, write_tokens
 
@@ -33,6 +34,11 @@ def op4_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model file must lie at the same path on every executor."""
+    return segment(read_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels are learned from rows whose fold of 5 is not 0."""
     docs = read_documents(spark, sf_dir, "doc_id", "text", "lang")
@@ -70,6 +76,7 @@ QUERIES = {
     "op2_compression_bands": op2_compression_bands,
     "op3_lz_fingerprint": op3_lz_fingerprint,
     "op4_simple8b_tokens": op4_simple8b_tokens,
+    "op5_piece_nbest": op5_piece_nbest,
     "op6_toxicity_cnn": op6_toxicity_cnn,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
