@@ -273,3 +273,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         comps = connected_components(links.unionAll(more))
     out = rows.join(comps, rows["rep"] == comps["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """``docs`` without the documents that a smaller id stands for, with all their columns."""
+    gone = stage(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

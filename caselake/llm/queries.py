@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, rule_quality, toxicity_cnn
+from . import language_id, mixing, rule_quality, toxicity_cnn
 from .common import fold, read_documents
 from .compression_quality import compression_bands
 from .language_id import held_out
@@ -21,6 +21,19 @@ def _labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col(label).cast("int").alias("label"))
 
 
+def mixing_classifier(spark: SparkSession, sf_dir: str) -> mixing.Classifier:
+    """Domains are the languages of the documents that ``labels`` lists."""
+    listed = _labels(spark, sf_dir, "quality").select("doc_id").distinct()
+    docs = read_documents(spark, sf_dir, "doc_id", "text", F.col("lang").alias("domain"))
+    return mixing.learn(docs.join(listed, "doc_id", "left_semi"))
+
+
+def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates that lift the smaller domains to tempered shares, and how often each document is then taken."""
+    rated, _ = mixing.rates(read_documents(spark, sf_dir), mixing_classifier(spark, sf_dir))
+    return mixing.with_copies(rated).select("doc_id", "n_tokens", "domain", F.array_max("posterior").alias("posterior"), "rate", "copies")
+
+
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands(read_documents(spark, sf_dir))
 
@@ -73,6 +86,7 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_soft_mixing": op1_soft_mixing,
     "op2_compression_bands": op2_compression_bands,
     "op3_lz_fingerprint": op3_lz_fingerprint,
     "op4_simple8b_tokens": op4_simple8b_tokens,

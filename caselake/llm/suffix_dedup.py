@@ -441,3 +441,34 @@ def dedup_digest(docs: DataFrame) -> DataFrame:
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
     )
+
+
+def _strip_batches(columns: list[str]):
+    """Rows of ``columns`` and spans to the same rows with their spans taken out of text."""
+    at = columns.index("text")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_size(batches, SLICE):
+            spans = batch.column(len(columns))
+            texts = batch.column(at).to_pylist()
+            for i in np.flatnonzero(np.asarray(spans.is_valid())):
+                kept, _ = kept_bytes(texts[i].encode(), [(s["start"], s["stop"]) for s in spans[int(i)].as_py()])
+                texts[i] = kept.decode(errors="ignore")  # characters cut by a span go with it
+            out = list(batch.columns[: len(columns)])
+            out[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(out, names=columns)
+
+    return rows
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of their texts, with all their columns; ``n_chars`` follows the text."""
+    copies, spans = repeated_spans(docs)
+    whole = copies.select("doc", "k", F.lit(0).cast("long").alias("start"), F.lit(LAST).alias("stop"))
+    by_doc = stage(spans.unionAll(whole).groupBy("doc", "k").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
+    names = docs.columns
+    row = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
+    keyed = docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("k"))
+    dealt = keyed.join(by_doc, ["doc", "k"], "left").select("row.*", F.col("spans").alias("__spans"))
+    out = dealt.mapInArrow(_strip_batches(names), docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

@@ -1,16 +1,65 @@
-"""Training-corpus pipeline: the stages in order, each a function (spark, docs, sf_dir) -> DataFrame."""
+"""Training-corpus pipeline: the stages in order, each a function (spark, docs, sf_dir) -> DataFrame.
+
+Every stage but the last returns the columns of ``documents``.  Toxic documents go, one document of
+each near-duplicate group stays, repeated passages are cut out of the texts, small domains are
+repeated up to their target weights (no document is lost there), and the last stage returns piece ids.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caselake.llm import minhash_dedup, mixing, piece_nbest, suffix_dedup, toxicity_cnn
+from caselake.llm.common import drop_staged, fold, stage
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the classifier calls toxic; it learns from labels outside the held-out fold."""
+    labels = _labels(spark, sf_dir).select("doc_id", F.col("toxic").cast("int").alias("label")).where(fold(modulus=5) != 0)
+    return toxicity_cnn.keep_clean(docs, toxicity_cnn.fit(docs, labels))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each group of near copies."""
+    return minhash_dedup.keep_first(docs)
+
+
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut out every byte covered by a 100-byte string that also starts earlier."""
+    return suffix_dedup.remove_repeats(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat documents by their fitted rates; each stays once at least."""
+    listed = _labels(spark, sf_dir).select("doc_id").distinct()
+    labelled = docs.select("doc_id", "text", F.col("lang").alias("domain")).join(listed, "doc_id", "left_semi")
+    return mixing.mix(docs, mixing.learn(labelled), least=1)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of the best segmentation, and the scores of the N best."""
+    return piece_nbest.segment(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
+
 
-STAGES: list = []
+STAGES = [("toxicity", toxicity), ("minhash", near_dedup), ("suffix_array", passage_dedup), ("mixing", mix), ("sentencepiece", encode)]
 
+#: Trained models, suffix arrays and piece lattices are beyond SQL; the tests hold brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to ``documents``; each result is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, function in STAGES:
-        docs = function(spark, docs, sf_dir)
+    for i, (name, function) in enumerate(STAGES):
+        made = function(spark, docs, sf_dir)
+        if i == len(STAGES) - 1:
+            return made
+        before, docs = docs, stage(made, f"stage-{name}")
+        drop_staged(before)
     return docs
