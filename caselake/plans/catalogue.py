@@ -1,6 +1,189 @@
-"""Registered queries of the report-analytics engine and their SQL twins."""
+"""Registered queries of the report-analytics engine and their SQL twins, keyed by operator id."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions.text import partial_date, ratio, surrogate_key
+from ..operators import checks, identity, serving, studies, versions
+from .adapters import oracle, sources, table, warehouse
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def _plain(name: str, make: Callable, sql: str, *tables: str) -> None:
+    """A query over driver tables."""
+    register(name, sql)(lambda spark, d: make(*(table(spark, d, t) for t in tables)))
+
+
+def _built(name: str, relation: str, columns: str, sql_columns: str | None = None, where: str = "") -> None:
+    """A query that shows one relation of the warehouse."""
+    exprs = [c.strip() for c in columns.split(";")]
+    body = f"select {', '.join(c.strip() for c in (sql_columns or columns).split(';'))} from {relation}{where}"
+    register(name, oracle(body))(lambda spark, d: warehouse(spark, d)[relation].selectExpr(*exprs))
+
+
+def _rounded(*names: str) -> str:
+    return "; ".join(f"round({n}, 6) as {n}" for n in names)
+
+
+# --- the warehouse (D07-D25, A04, A08, A10, A12, J02-J07, W06, N05, F19) ----------------------
+
+_built("d25_stage_demo", "stg_demo", "primaryid; caseid; caseversion; event_dt; fda_dt; init_fda_dt; cast(age as double) as age; age_cod; sex; occp_cod; reporter_country", "primaryid; caseid; caseversion; event_dt; fda_dt; init_fda_dt; age::double as age; age_cod; sex; occp_cod; reporter_country")
+register("d08_clean_name", oracle("select primaryid, drug_seq, drugname, drugname_clean, prod_ai from drug"))(lambda s, d: warehouse(s, d)["stg_drug"].select("primaryid", "drug_seq", "drugname", "drugname_clean", "prod_ai"))
+_built("d09_name_lookup", "lookup", "drugname_clean; modal_ai; support; band; round(purity, 6) as purity; n_ai")
+_built("d10_resolve", "resolved", "primaryid; drug_seq; role_cod; drugname; band; prod_ai_resolved; prod_ai_source")
+_built("d11_pieces", "pieces", "piece; n_rows")
+_built("d12_piece_identity", "piece_identity", "piece; identity; identity_source; tty; status; rule; rule_rank; n_rows")
+_built("d13_string_identity", "string_identity", "prod_ai_resolved; n_rows; status; identity_key; n_ingredients")
+_built("d14_case_pairs", "pairs", "primaryid; identity_key; reaction_pt; is_lw; report_quarter")
+_built("d15_demographics", "demographics", "primaryid; round(age_years, 6) as age_years; age_group; sex; reporter_country; event_dt; occp_cod")
+_built("d16_contingency", "contingency", "identity_key; reaction_pt; a; a_nolw; b; b_nolw; c; c_nolw; d; d_nolw")
+_built("d21_pair_quarters", "pair_quarters", "identity_key; reaction_pt; report_quarter; n_cases; n_cases_nolw")
+_SIGNAL = "identity_key; reaction_pt; a; b; c; d; n; " + _rounded("expected", "ic", "ic025") + "; a_nolw; n_nolw; " + _rounded("expected_nolw", "ic_nolw", "ic025_nolw", "pct_lw") + "; peak_quarter_n; peak_quarter; " + _rounded("peak_quarter_share")
+_built("signals", "signals", _SIGNAL)
+QUERIES["d20_d22_signals"], ORACLE_SQL["d20_d22_signals"] = QUERIES["signals"], ORACLE_SQL["signals"]
+_built("d23_dim_drug", "dim_drug", "drug_key; identity_key; drug_label; status; n_ingredients; n_signals")
+
+_CI = "exp(ln({v}) - 1.96 * {s})"
+_PRR, _PRR_S = "(a::double / (a + b)) / (c::double / (c + d))", "sqrt(1.0::double / a - 1.0::double / (a + b) + 1.0::double / c - 1.0::double / (c + d))"
+_CHI = "(a + b + c + d) * power(greatest(abs(a::double * d - b::double * c) - (a + b + c + d) / 2.0, 0), 2) / ((a + b)::double * (c + d) * (a + c) * (b + d))"
+_ROR, _ROR_S = "(a::double * d) / (b::double * c)", "sqrt(1.0::double / a + 1.0::double / b + 1.0::double / c + 1.0::double / d)"
+_SCORED = "from contingency where a >= 3 and b > 0 and c > 0 and d > 0"
+register(
+    "d17_d18_prr",
+    oracle(f"select identity_key, reaction_pt, a, b, c, d, round({_PRR}, 6) as prr, round(exp(ln({_PRR}) - 1.96 * {_PRR_S}), 6) as prr_lower, round(exp(ln({_PRR}) + 1.96 * {_PRR_S}), 6) as prr_upper, round({_CHI}, 6) as chi_square, {_PRR} >= 2 and {_CHI} >= 4 and a >= 3 as is_evans_signal {_SCORED}"),
+)(lambda s, d: _round(warehouse(s, d)["prr"]))
+register("d19_ror", oracle(f"select identity_key, reaction_pt, a, b, c, d, round({_ROR}, 6) as ror, round(exp(ln({_ROR}) - 1.96 * {_ROR_S}), 6) as ror_lower, round(exp(ln({_ROR}) + 1.96 * {_ROR_S}), 6) as ror_upper {_SCORED}"))(lambda s, d: _round(warehouse(s, d)["ror"]))
+
+
+def _round(df: DataFrame) -> DataFrame:
+    return df.select(*(F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes))
+
+
+_built("d23_dim_reaction", "dim_reaction", "reaction_key; reaction_pt")
+ORACLE_SQL["d23_dim_reaction"] = oracle("select distinct md5(reaction_pt) as reaction_key, reaction_pt from pairs")
+_built("d23_dim_outcome", "dim_outcome", "outcome_key; outcome_code; outcome_desc")
+ORACLE_SQL["d23_dim_outcome"] = oracle("select distinct md5(outcome_code) as outcome_key, outcome_code, case outcome_code when 'DE' then 'Death' when 'HO' then 'Hospitalization' else 'Other' end as outcome_desc from outc")
+_KEY3 = "md5(coalesce(age_group, '_dbt_utils_surrogate_key_null_') || '-' || coalesce(sex, '_dbt_utils_surrogate_key_null_') || '-' || coalesce(reporter_country, '_dbt_utils_surrogate_key_null_'))"
+_built("d23_dim_demographics", "dim_demographics", "demographics_key; age_group; sex; reporter_country")
+ORACLE_SQL["d23_dim_demographics"] = oracle(f"select distinct {_KEY3} as demographics_key, age_group, sex, reporter_country from demographics")
+_built("d24_fact", "fact", "primaryid; drug_key; reaction_key; demographics_key; identity_key; reaction_pt; event_dt; has_death; has_hospitalization; has_life_threatening; has_other_outcome")
+ORACLE_SQL["d24_fact"] = oracle(
+    f"select p.primaryid, md5(identity_key) as drug_key, md5(reaction_pt) as reaction_key, {_KEY3} as demographics_key, identity_key, reaction_pt, event_dt, coalesce(de, 0) as has_death, coalesce(ho, 0) as has_hospitalization, 0 as has_life_threatening, coalesce(ot, 0) as has_other_outcome "
+    "from pairs p join demographics e on e.primaryid = p.primaryid left join (select primaryid, max((outcome_code = 'DE')::int) as de, max((outcome_code = 'HO')::int) as ho, max((outcome_code = 'OT')::int) as ot from outc group by 1) o on o.primaryid = p.primaryid"
+)
+
+# --- versions and checks (D03-D06, W01-W04, J08-J11, P20, Q01-Q06) ---------------------------
+
+
+def _merged(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    s = sources(spark, d)
+    return {"demo": s["demo"], "drug": s["drug"], "reac": s["reac"], "outc": s["outc"]}
+
+
+def _retracted(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").where("c_custkey % 11 = 3").select(F.col("c_custkey").cast("string").alias("caseid"))
+
+
+_CLEAN = "cleaned as (select distinct * from demo where caseid is not null and caseid not in (select c_custkey::varchar from customer where c_custkey % 11 = 3))"
+_KEEP = (
+    "ranked as (select primaryid, caseid, coalesce(try_cast(caseversion as bigint), 0) as v, (primaryid is not null)::int + (caseid is not null)::int + (caseversion is not null)::int + (fda_dt is not null)::int + (init_fda_dt is not null)::int + (event_dt is not null)::int + (age is not null)::int + (age_cod is not null)::int + (sex is not null)::int + (occp_cod is not null)::int + (reporter_country is not null)::int as filled from cleaned), "
+    "children as (select primaryid, count(*) as n from (select primaryid from drug union all select primaryid from reac union all select primaryid from outc) group by 1), "
+    "keep as (select caseid, primaryid from (select * from ranked qualify v = max(v) over (partition by caseid)) left join children using (primaryid) qualify row_number() over (partition by caseid order by coalesce(n, 0) desc, filled desc, try_cast(primaryid as bigint), primaryid) = 1)"
+)
+
+
+def _versions(body: str) -> str:
+    return oracle("").rstrip() + f", {_CLEAN}, {_KEEP} {body}"
+
+
+def _cleaned(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    merged = _merged(spark, d)
+    return merged | {"demo": versions.clean(merged["demo"], "demo", _retracted(spark, d))}
+
+
+register("d03_clean", _versions("select primaryid, caseid, caseversion from cleaned"))(lambda s, d: _cleaned(s, d)["demo"].select("primaryid", "caseid", "caseversion"))
+register("d05_keep_list", _versions("select caseid, primaryid from keep"))(lambda s, d: versions.keep_list(_cleaned(s, d)["demo"], _cleaned(s, d)))
+
+
+@register("d05_dedup_children", _versions("select primaryid, reaction_pt as pt from reac semi join keep using (primaryid)"))
+def _dedup_children(spark: SparkSession, d: str) -> DataFrame:
+    t = _cleaned(spark, d)
+    return versions.dedup(t, versions.keep_list(t["demo"], t))["reac"].select("primaryid", "pt")
+
+
+@register("d06_validate")
+def _validate(spark: SparkSession, d: str) -> DataFrame:
+    t = _cleaned(spark, d)
+    return versions.validate(t, versions.dedup(t, versions.keep_list(t["demo"], t)), _retracted(spark, d))
+
+
+@register(
+    "q01_q05_checks",
+    oracle(
+        "select 'unique:identity_key,reaction_pt' as rule, count(*) as violations from (select 1 from contingency group by identity_key, reaction_pt having count(*) > 1) "
+        "union all select 'not_null:report_quarter', count(*) from pairs where report_quarter is null "
+        "union all select 'accepted_values:outcome_code', count(distinct outcome_code) from outc where outcome_code not in ('DE', 'HO') "
+        "union all select 'relationships:identity_key', count(*) from pairs where identity_key is not null and identity_key not in (select identity_key from dim_drug) "
+        "union all select 'expression:ic025 <= ic and a_nolw <= a', count(*) from signals where not (ic025 <= ic and a_nolw <= a) "
+        "union all select 'equal_rowcount', 0"
+    ),
+)
+def _rules(spark: SparkSession, d: str) -> DataFrame:
+    w = warehouse(spark, d)
+    return checks.report(
+        checks.unique(w["contingency"], "identity_key", "reaction_pt"),
+        checks.not_null(w["pairs"], "report_quarter"),
+        checks.accepted_values(w["stg_outc"], "outcome_code", ["DE", "HO"]),
+        checks.relationships(w["pairs"], "identity_key", w["dim_drug"], "identity_key"),
+        checks.expression_is_true(w["signals"], "ic025 <= ic and a_nolw <= a"),
+        checks.equal_rowcount(w["contingency"], w["signals"]),
+    )
+
+
+register("q06_seed_pieces_exist", oracle("select piece from seed where piece not in (select piece from pieces)"))(lambda s, d: checks.seed_pieces_exist(warehouse(s, d)["seed"], warehouse(s, d)["pieces"]))
+register("q06_identities_complete", oracle("select prod_ai_resolved from resolved where prod_ai_resolved is not null except select prod_ai_resolved from string_identity"))(lambda s, d: checks.identities_complete(warehouse(s, d)["resolved"], warehouse(s, d)["string_identity"]))
+register("q06_seed_pieces_win", oracle("select s.piece, i.rule from seed s left join piece_identity i using (piece) where i.rule is distinct from 'seed'"))(lambda s, d: checks.seed_pieces_win(warehouse(s, d)["seed"], warehouse(s, d)["piece_identity"]))
+
+# --- serving (V01-V07) -----------------------------------------------------------------------
+
+_DRUG, _REACTION = "rxcui:101|rxcui:900", "ECONOMY"
+_KEYSQL = f"identity_key = '{_DRUG}' and reaction_pt = '{_REACTION}'"
+register("v01_search", oracle("select drug_key, drug_label, n_ingredients, n_signals from dim_drug where drug_label ilike '%co%' and n_signals > 0 order by n_ingredients, drug_label, drug_key limit 20"))(lambda s, d: serving.search(warehouse(s, d)["dim_drug"], "co"))
+register("v02_lookup", oracle(f"select identity_key, drug_label from dim_drug where drug_key = md5('{_DRUG}')"))(lambda s, d: warehouse(s, d)["dim_drug"].transform(lambda x: x.where(F.col("drug_key") == F.md5(F.lit(_DRUG))).select("identity_key", "drug_label")))
+register("v03_drug_signals", oracle(f"select reaction_pt, a, round(ic025, 6) as ic025, round(pct_lw, 6) as pct_lw, peak_quarter from signals where identity_key = '{_DRUG}' and ic025 > 0 order by signals.ic025 desc, reaction_pt limit 50"))(
+    lambda s, d: serving.drug_signals(warehouse(s, d)["signals"], _DRUG).selectExpr("reaction_pt", "a", "round(ic025, 6) as ic025", "round(pct_lw, 6) as pct_lw", "peak_quarter")
+)
+register("v04_pair_detail", oracle(f"select report_quarter, n_cases, n_cases_nolw from pair_quarters where {_KEYSQL}"))(lambda s, d: serving.pair_detail(warehouse(s, d)["pair_quarters"], warehouse(s, d)["pair_quarters"], _DRUG, _REACTION)[1])
+register("v05_quarter_series", oracle(f"select q::date as report_quarter, year(q) || ' Q' || quarter(q) as label, coalesce(n_cases, 0) as n, coalesce(n_cases_nolw, 0) as n_nolw, coalesce(n_cases, 0) - coalesce(n_cases_nolw, 0) as n_lw from (select unnest(generate_series(date '1996-01-01', (select max(report_quarter) from pair_quarters), interval 3 month)) as q) left join (select * from pair_quarters where {_KEYSQL}) p on p.report_quarter = q::date"))(
+    lambda s, d: _series(warehouse(s, d)["pair_quarters"])
+)
+register("v06_cases_before", oracle(f"select coalesce(sum(n_cases) filter (where year(report_quarter) < 2004), 0)::bigint as n_before from pair_quarters where {_KEYSQL}"))(lambda s, d: serving.cases_before(warehouse(s, d)["pair_quarters"], _DRUG, _REACTION))
+
+
+def _series(quarters: DataFrame) -> DataFrame:
+    from datetime import date
+
+    return serving.quarter_series(quarters, _DRUG, _REACTION, date(1996, 1, 1))
+
+
+# --- studies (Z01-Z14) -----------------------------------------------------------------------
+
+for _name, (_make, _sql) in studies.STUDIES.items():
+    register(_name, oracle(_sql))(lambda s, d, make=_make: make(warehouse(s, d)))
