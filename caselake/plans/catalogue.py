@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import partial_date, ratio, surrogate_key
-from ..operators import checks, identity, serving, studies, versions
+from ..operators import checks, serving, studies, versions
+from . import relational
 from .adapters import oracle, sources, table, warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,11 +25,6 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-def _plain(name: str, make: Callable, sql: str, *tables: str) -> None:
-    """A query over driver tables."""
-    register(name, sql)(lambda spark, d: make(*(table(spark, d, t) for t in tables)))
-
-
 def _built(name: str, relation: str, columns: str, sql_columns: str | None = None, where: str = "") -> None:
     """A query that shows one relation of the warehouse."""
     exprs = [c.strip() for c in columns.split(";")]
@@ -187,3 +181,8 @@ def _series(quarters: DataFrame) -> DataFrame:
 
 for _name, (_make, _sql) in studies.STUDIES.items():
     register(_name, oracle(_sql))(lambda s, d, make=_make: make(warehouse(s, d)))
+
+# --- single operators ------------------------------------------------------------------------
+
+for _name, (_make, _tables, _sql) in relational.QUERIES.items():
+    register(_name, _sql)(lambda s, d, make=_make, tables=_tables: make(*(table(s, d, t) for t in tables)))

@@ -1,0 +1 @@
+"""Empty on purpose: the engine is a batch engine and offers no streaming operators."""
