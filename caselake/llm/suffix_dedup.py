@@ -50,30 +50,32 @@ SPANS_SCHEMA = "doc long, k long, start long, stop long"
 CUT_SCHEMA = "doc long, k long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def minimisers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start of every window, its minimiser) of texts laid end to end; windows never cross texts."""
+def _sliding(values: np.ndarray, pick: np.ufunc, fill: np.uint64) -> np.ndarray:
+    """``pick`` of each SPREAD neighbours, from running picks of blocks in both directions."""
+    size = -(-len(values) // SPREAD) * SPREAD
+    padded = np.full(size, fill)
+    padded[: len(values)] = values
+    blocks = padded.reshape(-1, SPREAD)
+    forward = pick.accumulate(blocks, axis=1).ravel()
+    backward = pick.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    n = len(values) - SPREAD + 1
+    return pick(backward[:n], forward[SPREAD - 1 : SPREAD - 1 + n])
+
+
+def minimisers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start of every window, its minimiser, hash of every gram) of texts laid end to end; windows never cross texts."""
     n = len(data)
     if n < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     at = np.arange(n - GRAM + 1)
     h = B.SpanHash(data)(at, at + GRAM)
-    # smallest of SPREAD neighbours, from running minima of blocks in both directions
-    size = -(-len(h) // SPREAD) * SPREAD
-    padded = np.full(size, ~np.uint64(0))
-    padded[: len(h)] = h
-    blocks = padded.reshape(-1, SPREAD)
-    forward = np.minimum.accumulate(blocks, axis=1).ravel()
-    backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    windows = n - LENGTH + 1
-    low = np.minimum(backward[:windows], forward[SPREAD - 1 : SPREAD - 1 + windows])
-    inside = np.ones(windows, bool)
-    crossing = np.zeros(windows + 1, np.int32)
+    low = _sliding(h, np.minimum, ~np.uint64(0))
+    crossing = np.zeros(len(low) + 1, np.int32)
     cuts = offsets[1:-1]
-    np.add.at(crossing, np.clip(cuts - LENGTH + 1, 0, windows), 1)
-    np.add.at(crossing, np.clip(cuts, 0, windows), -1)
-    inside = np.cumsum(crossing[:windows]) == 0
-    starts = np.flatnonzero(inside)
-    return starts, low[starts]
+    np.add.at(crossing, np.clip(cuts - LENGTH + 1, 0, len(low)), 1)
+    np.add.at(crossing, np.clip(cuts, 0, len(low)), -1)
+    starts = np.flatnonzero(np.cumsum(crossing[:-1]) == 0)
+    return starts, low[starts], h
 
 
 def _key(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -81,32 +83,27 @@ def _key(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct minimisers of each text, and whether it has one in two separate runs."""
+    """The distinct minimisers of each text, and whether the text has that gram, as a minimiser, in two places."""
     for batch in by_size(batches, SLICE):
         data, offsets = buffer_of(text_column(batch))
-        starts, low = minimisers(data, offsets)
+        starts, low, h = minimisers(data, offsets)
         if not len(starts):
             continue
-        owner = np.searchsorted(offsets, starts, side="right") - 1
-        run = np.append(True, (low[1:] != low[:-1]) | (owner[1:] != owner[:-1]) | (starts[1:] != starts[:-1] + 1))
-        low, owner, begin = low[run], owner[run], starts[run]
-        order = np.lexsort((low, owner))
-        low, owner, begin = low[order], owner[order], begin[order]
-        same = np.append(False, (low[1:] == low[:-1]) & (owner[1:] == owner[:-1]))
-        # a run longer than the windows that can share one gram holds that gram twice
-        long_run = _run_lengths(run, len(starts))[order] > SPREAD
-        new = np.flatnonzero(~same)
-        twice = np.logical_or.reduceat(same | long_run, new)
+        # a gram is a minimiser if it is as small as the largest minimum of the windows around it
+        every = np.zeros(len(h) + SPREAD - 1, np.uint64)
+        every[starts + SPREAD - 1] = low
+        place = np.flatnonzero((_sliding(every, np.maximum, np.uint64(0)) == h) & (h > 0))
+        owner, value = np.searchsorted(offsets, place, side="right") - 1, h[place]
+        order = np.lexsort((value, owner))
+        owner, value = owner[order], value[order]
+        new = np.flatnonzero(np.append(True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])))
+        n = np.diff(np.append(new, len(value)))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(_key(batch, "doc")[owner[new]]), pa.array(_key(batch, "k")[owner[new]]), pa.array(low[new].view(np.int64)), pa.array(twice)],
+            [pa.array(_key(batch, "doc")[owner[new]]), pa.array(_key(batch, "k")[owner[new]]), pa.array(value[new].view(np.int64)), pa.array(n > 1)],
             names=["doc", "k", "h", "twice"],
         )
 
 
-def _run_lengths(first: np.ndarray, n: int) -> np.ndarray:
-    return np.diff(np.append(np.flatnonzero(first), n))
-
-
 # --- one shard ----------------------------------------------------------------------
 
 
@@ -268,7 +265,7 @@ def _shard_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for i in range(batch.num_rows):
             data = np.frombuffer(unpress.decompress(batch.column(2)[i].as_py()), np.uint8)
             known = np.sort(np.asarray(batch.column(3)[i].values.to_numpy(zero_copy_only=False), np.int64).view(np.uint64))
-            starts, low = minimisers(data, np.array([0, len(data)]))
+            starts, low, _ = minimisers(data, np.array([0, len(data)]))
             found = np.minimum(np.searchsorted(known, low), len(known) - 1)
             hit = known[found] == low
             starts, low = starts[hit], low[hit]

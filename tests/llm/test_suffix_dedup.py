@@ -69,7 +69,7 @@ def corpus(seed, n):
 
 
 def test_matches_brute_force(spark):
-    edge = [(2000, None), (2001, ""), (2002, "short"), (2003, "ab" * 400), (2004, "x" * 99), (2005, "x" * 100), (2006, "x" * 101), (None, "ab" * 60), (2007, "z" * 5000)]
+    edge = [(2000, None), (2001, ""), (2002, "short"), (2003, "ab" * 400), (2004, "x" * 99), (2005, "x" * 100), (2006, "x" * 101), (None, "ab" * 60), (2007, "z" * 5000), (2008, "Eaea " * 21), (2009, "short period " * 9), (2010, "lead in " + "abcdefg" * 16)]
     rows = corpus(1, 120) + edge
     df = spark.createDataFrame([(*r, "a", 3) for r in rows], "doc_id long, text string, k string, doc int").repartition(4)
     got = sorted((tuple(r) for r in S.dedup_digest(df).collect()), key=lambda r: (r[0] is None, r[0] or 0))
