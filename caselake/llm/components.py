@@ -14,16 +14,18 @@ from pyspark.sql import functions as F
 from .common import drop_staged, stage
 
 
-def _mark(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _are_stars(links: DataFrame) -> bool:
+    """Is every node either one link's larger end or only a smaller end?"""
+    ends = links.select(F.col("a").alias("u"), F.lit(0).alias("up")).unionAll(links.select(F.col("b").alias("u"), F.lit(1).alias("up")))
+    seen = ends.groupBy("u").agg(F.sum("up").alias("ups"), F.min("up").alias("low"))
+    return seen.where("ups > 1 or (ups = 1 and low = 0)").isEmpty()
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b) that isn't its component's smallest one."""
     pair = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     current = stage(links.where("a <> b").select(pair.alias("p")).select("p.a", "p.b").distinct(), "links")
-    mark = _mark(current)
-    while mark[0]:
+    while not _are_stars(current):
         both = current.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(current.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         large = stage(both.join(low, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct(), "large")
@@ -31,7 +33,5 @@ def connected_components(links: DataFrame) -> DataFrame:
         moved = large.join(low_of, "b").where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
         small = stage(moved.unionAll(low_of.select(F.col("m").alias("a"), "b")).distinct(), "links")
         drop_staged(current, low, large, low_of)
-        current, before, mark = small, mark, _mark(small)
-        if mark == before:
-            break
+        current = small
     return current.select(F.col("b").alias("node"), F.col("a").alias("component"))

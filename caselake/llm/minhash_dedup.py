@@ -7,13 +7,14 @@ Candidate signatures are compared batch by batch: a pair is dropped once the pos
 that its likeness reaches the threshold falls under MISS.  Survivors are verified on their full
 shingle sets, and verified links give components.
 
-Candidates are found in two rounds.  First every member of a bucket is compared with the bucket's
+Candidates come in two rounds.  First every member of a bucket is compared with the bucket's
 smallest and largest member, and each document's best survivor is verified; most groups, however
 large, fall together here with a linear number of pairs.  Then buckets whose members still lie in
-different components are compared block by block (BLOCK x BLOCK members a task at most), across
-components only, and all survivors are verified.  No pair that shares a band and may link two
-components is left out.  A pair at the threshold shares no band with probability (1 - 0.75**4)**32,
-about 5 in a million.
+different components are compared block by block (BLOCK x BLOCK members a task at most).  Members with
+survivors in other components come with their texts; each block verifies its pairs itself, likeliest
+first, and returns only links that join components, fewer than it has members.  So no pair that shares a
+band and may join two components is left out, and no step returns more rows than members.  A pair at
+the threshold shares no band with probability (1 - 0.75**4)**32, about 5 in a million.
 
 Defined results: a null or wordless text has an empty set and links with nothing; a null id links
 with nothing, has a null component and is kept; rows of one doc_id are one node, linked
@@ -168,42 +169,32 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select("a", "b", "left", "right").mapInArrow(_verify_batches, "a long, b long").distinct()
 
 
-def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, lo, hi, block, band, rep, comp, sig) sorted by (key, lo, hi): survivors across components."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        table = pa.Table.from_batches(held).combine_chunks()
-        group = np.stack([table[c].to_numpy() for c in ("key", "lo", "hi")])
-        cuts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
-        if len(cuts):
-            done = int(cuts[-1])
-            yield from _compare_groups(table.slice(0, done), np.concatenate([[0], cuts]))
-            held = table.slice(done).to_batches()
-    if held:
-        table = pa.Table.from_batches(held).combine_chunks()
-        yield from _compare_groups(table, np.array([0, table.num_rows]))
-
-
-def _compare_groups(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-    lo, block, band, rep, comp = (table[c].to_numpy() for c in ("lo", "block", "band", "rep", "comp"))
-    hi = table["hi"].to_numpy()
-    sig = _sig_matrix(pa.concat_arrays(table["sig"].chunks))
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    n_waiting = 0
-
-    def drain() -> None:
-        x, y = (np.concatenate(z) for z in zip(*waiting, strict=True))
-        agree = (sig[x] == sig[y]).reshape(len(x), BANDS, ROWS).all(axis=2)
-        own = agree.argmax(axis=1) == band[x]  # a pair counts in the first band that it shares
-        x, y = x[own], y[own]
-        alive, _ = sequential(sig[x], sig[y])
-        if len(alive):
-            found.append((rep[x[alive]], rep[y[alive]]))
-
+def _by_block(compare):
+    """A map over rows sorted by (key, lo, hi) that hands whole blocks to ``compare(table, bounds)``."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            table = pa.Table.from_batches(held).combine_chunks()
+            group = np.stack([table[c].to_numpy() for c in ("key", "lo", "hi")])
+            cuts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+            if len(cuts):
+                done = int(cuts[-1])
+                yield from compare(table.slice(0, done), np.concatenate([[0], cuts]))
+                held = table.slice(done).to_batches()
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield from compare(table, np.array([0, table.num_rows]))
+
+    return rows
+
+
+def _survivors(table: pa.Table, bounds: np.ndarray, sig: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(x, y, matches) of each block: row pairs across components that share this band first and aren't pruned."""
+    lo, hi, block, band, comp = (table[c].to_numpy() for c in ("lo", "hi", "block", "band", "comp"))
     for s, e in zip(bounds[:-1], bounds[1:], strict=True):
         if e - s < 2:
             continue
@@ -214,20 +205,74 @@ def _compare_groups(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBa
             first, second = np.flatnonzero(block[s:e] == lo[s]) + s, np.flatnonzero(block[s:e] == hi[s]) + s
             x, y = np.repeat(first, len(second)), np.tile(second, len(first))
         other = comp[x] != comp[y]
-        waiting.append((x[other], y[other]))
-        n_waiting += int(other.sum())
-        if n_waiting > 1 << 14:
-            drain()
-            waiting, n_waiting = [], 0
-    if n_waiting:
-        drain()
+        x, y = x[other], y[other]
+        found = [], [], []
+        for part in range(0, len(x), 1 << 14):
+            u, v = x[part : part + (1 << 14)], y[part : part + (1 << 14)]
+            agree = (sig[u] == sig[v]).reshape(len(u), BANDS, ROWS).all(axis=2)
+            own = agree.argmax(axis=1) == band[u]  # a pair counts in the first band that it shares
+            u, v = u[own], v[own]
+            alive, matches = sequential(sig[u], sig[v])
+            for out, values in zip(found, (u[alive], v[alive], matches), strict=True):
+                out.append(values)
+        if found[0] and sum(map(len, found[0])):
+            yield tuple(np.concatenate(f) for f in found)
+
+
+class _Forest:
+    """Components joined so far within one block."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, c: int) -> int:
+        while (p := self.parent.get(c, c)) != c:
+            self.parent[c] = self.parent.get(p, p)
+            c = p
+        return c
+
+    def join(self, c: int, d: int) -> None:
+        self.parent[self.root(c)] = self.root(d)
+
+
+def _open_members(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of each block that have a survivor in another component."""
+    found = [np.union1d(x, y) for x, y, _ in _survivors(table, bounds, _sig_matrix(pa.concat_arrays(table["sig"].chunks)))]
     if found:
-        x, y = (np.concatenate(z) for z in zip(*found, strict=True))
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        rows = table.take(pa.array(np.concatenate(found))).drop_columns(["sig"]).combine_chunks()
+        yield from rows.to_batches()
 
 
-def _residual(members: DataFrame, comps: DataFrame, signed: DataFrame) -> DataFrame:
-    """Survivors (a, b) in buckets whose members lie in different components, across components only."""
+def _exact_links(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Links between components in each block, verified on the members' full sets; (a, b) are components."""
+    comp = table["comp"].to_numpy()
+    out: list[tuple[int, int]] = []
+    for s, e in zip(bounds[:-1], bounds[1:], strict=True):
+        part = table.slice(int(s), int(e - s)).combine_chunks()
+        n = part.num_rows
+        hashes, text, _, _ = shingles(*buffer_of(text_column(pa.RecordBatch.from_arrays([pa.concat_arrays(part["text"].chunks)], names=["text"]))))
+        cuts = np.searchsorted(text, np.arange(n + 1))
+        sets = [set(hashes[i:j].tolist()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        for x, y, matches in _survivors(part, np.array([0, n]), signatures(hashes, text, n)):
+            forest = _Forest()
+            order = np.argsort(-matches, kind="stable")
+            for u, v in zip(x[order].tolist(), y[order].tolist(), strict=True):
+                c, d = comp[s + u], comp[s + v]
+                if forest.root(c) == forest.root(d):
+                    continue
+                shared = len(sets[u] & sets[v])
+                if 100 * shared >= THRESHOLD * (len(sets[u]) + len(sets[v]) - shared):
+                    forest.join(c, d)
+                    out.append((min(c, d), max(c, d)))
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+
+_PLACE = ("key", "lo", "hi", "block", "band", "rep", "comp")
+
+
+def _mixed_blocks(members: DataFrame, comps: DataFrame, signed: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, dealt to pairs of blocks and sorted by them."""
     placed = members.join(comps, members["rep"] == comps["node"], "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     placed = stage(placed, "placed")
     mixed = stage(placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n"), "mixed")
@@ -239,8 +284,16 @@ def _residual(members: DataFrame, comps: DataFrame, signed: DataFrame) -> DataFr
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "band", "rep", "comp", "sig")
     )
-    dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return dealt.mapInArrow(_block_batches, "a long, b long").distinct()
+    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
+def _last_links(members: DataFrame, comps: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links among what is still open, block by block."""
+    kinds = "key long, lo int, hi int, block int, band int, rep long, comp long"
+    left = stage(_mixed_blocks(members, comps, signed).mapInArrow(_by_block(_open_members), kinds), "open")
+    texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    rows = left.join(texts, "rep").select(*_PLACE, "text").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return rows.mapInArrow(_by_block(_exact_links), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -265,13 +318,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     likely = sides.select("a", "b", "left", "right").mapInArrow(_prune_batches, "a long, b long, matches long")
     best = likely.groupBy("b").agg(F.max(F.struct("matches", (-F.col("a")).alias("minus"))).alias("top")).select((-F.col("top.minus")).alias("a"), "b")
     links = stage(_verified(stage(best, "pairs"), docs), "verified")
-    comps = connected_components(links)
-
-    left = stage(_residual(members, comps, signed), "pairs")
-    more = stage(_verified(left, docs), "verified")
-    if not more.isEmpty():
-        comps = connected_components(links.unionAll(more))
-    out = rows.join(comps, rows["rep"] == comps["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    comps = stage(connected_components(links), "components")
+    more = connected_components(_last_links(members, comps, signed, docs)).select(F.col("node").alias("rep1"), F.col("component").alias("last"))
+    placed = rows.join(comps, rows["rep"] == comps["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("rep1"))
+    out = placed.join(more, "rep1", "left").select("doc_id", "n_shingles", F.coalesce("last", "rep1").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

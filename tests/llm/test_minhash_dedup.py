@@ -81,3 +81,17 @@ def test_empty_table(spark):
 
 def test_posterior_bounds_rise():
     assert (M.least_matches()[1:] > M.least_matches()[:-1]).all()
+
+
+def test_blocks_split_large_buckets(spark, monkeypatch):
+    """Chains of edits whose members resemble neighbours only, in blocks of a few."""
+    monkeypatch.setattr(M, "BLOCK", 4)
+    rng = random.Random(9)
+    words = [f"c{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        words = list(words)
+        for _ in range(2):
+            words[rng.randrange(150)] = f"e{i}_{rng.random()}"
+        rows.append((rng.randrange(10**6), " ".join(words)))
+    check(spark, list(dict(rows).items()))
