@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simple8b
+from .bytesops import gather
 from .common import bucket_placer, buffer_of, by_size, partitions, stage, text_column
 
 END_ID = 2
 SLICE = 4 << 20
 #: Known words are forgotten beyond this many, to bound memory.
 CACHE = 300_000
+KEEP_HITS = 4
 SEGMENT_IDS = 1 << 20
 NO_ID = np.iinfo(np.int64).min  # stands for a null doc_id inside files
 SEGMENT_SCHEMA = "bucket int, first long, n_ids long, segment binary"
@@ -59,50 +61,64 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.first, self.size = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64)
+        """Keep the words met several times since the last time, and forget the others."""
+        keep = np.flatnonzero(self.hits >= KEEP_HITS) if hasattr(self, "hits") else np.zeros(0, np.int64)
+        names = list(self.known) if len(keep) else []
+        size = self.size[keep] if len(keep) else np.zeros(0, np.int64)
+        self.pool = gather(self.pool, self.first[keep], size) if len(keep) else np.zeros(0, np.uint32)
+        self.known = {names[k]: i for i, k in enumerate(keep)}
+        self.first, self.size, self.hits = np.cumsum(size) - size, size, np.zeros(len(keep), np.int64)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _distinct(self, words: list[bytes]) -> dict[bytes, list[int]]:
-        """Ids of distinct words; those of letters only share a call, split at word ends."""
-        out: dict[bytes, list[int]] = {}
+    def _distinct(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(words, their ids end to end, ids of each): those of letters only share a call, split at word ends."""
         plain, other = [], []
         for w in words:
-            (plain if w.decode().isalpha() else other).append(w)
+            (plain if (w.isalpha() if w.isascii() else w.decode().isalpha()) else other).append(w)
         groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        names, flat, sizes = [], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for group, ids in zip(groups, self._whole([b" ".join(g).decode() for g in groups]), strict=True):
-            cuts = np.flatnonzero(self.closes[ids]) + 1 if ids else np.zeros(0, int)
-            if len(cuts) != len(group) or cuts[-1] != len(ids):
+            found = np.array(ids, np.uint32)
+            cuts = np.flatnonzero(self.closes[found]) + 1
+            if len(cuts) != len(group) or cuts[-1] != len(found):
                 other += group
                 continue
-            start = 0
-            for w, cut in zip(group, cuts.tolist(), strict=True):
-                out[w] = ids[start:cut]
-                start = cut
-        out.update(zip(other, self._whole([w.decode() for w in other]), strict=True))
-        return out
+            names += group
+            flat.append(found)
+            sizes.append(np.diff(cuts, prepend=0))
+        found = self._whole([w.decode() for w in other])
+        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        return names + other, np.concatenate(flat), np.concatenate(sizes)
 
     def _learn(self, words: list[bytes]) -> None:
-        cut = []
-        for w in words:
+        cores, tails, tailed = [], [], []
+        for at, w in enumerate(words):
             core = w.rstrip(_TAIL)
             # a letter and the signs behind it are never one token
-            cut.append(core if core and len(core) < len(w) and core.decode()[-1].isalpha() else w)
-        parts = {c for c in cut} | {w[len(c) :] for w, c in zip(words, cut, strict=True) if len(c) < len(w)}
-        ids = self._distinct(list(parts))
-        for w, c in zip(words, cut, strict=True):
-            found = ids[c] + ids[w[len(c) :]] if len(c) < len(w) else ids[c]
-            at, n = len(self.known), len(found)
-            if at == len(self.first):
-                self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
-            while self.used + n > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used : self.used + n] = found
-            self.known[w], self.first[at], self.size[at] = at, self.used, n
-            self.used += n
+            if core is not w and core and (core[-1:].isalpha() if core[-1] < 128 else core.decode()[-1].isalpha()):
+                cores.append(core)
+                tails.append(w[len(core) :])
+                tailed.append(at)
+            else:
+                cores.append(w)
+        names, flat, size = self._distinct(list({*cores, *tails}))
+        index = dict(zip(names, range(len(names)), strict=True))
+        parts = np.ones(len(words), np.int64)
+        parts[tailed] = 2
+        start = np.cumsum(parts) - parts
+        sequence = np.empty(int(parts.sum()), np.int64)
+        sequence[start] = np.fromiter(map(index.__getitem__, cores), np.int64, len(cores))
+        sequence[start[tailed] + 1] = np.fromiter(map(index.__getitem__, tails), np.int64, len(tails))
+        found = gather(flat, (np.cumsum(size) - size)[sequence], size[sequence])
+        sizes = np.add.reduceat(size[sequence], start)
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.hits = np.concatenate([self.hits, np.zeros(len(words), np.int64)])
+        self.pool = np.concatenate([self.pool, found])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids end to end, ids of each text) of texts laid end to end."""
@@ -123,12 +139,12 @@ class WordEncoder:
         at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0)
         if len(new):
-            self._learn(list(dict.fromkeys(words[k] for k in new)))
-            at[new] = [self.known[words[k]] for k in new]
+            self._learn(list(dict.fromkeys([words[k] for k in new.tolist()])))
+            at[new] = np.fromiter((self.known[words[k]] for k in new.tolist()), np.int64, len(new))
+        self.hits += np.bincount(at, minlength=len(self.hits))
         size = self.size[at]
+        ids = gather(self.pool, self.first[at], size)
         ends = np.cumsum(size)
-        source = np.repeat(self.first[at] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
-        ids = self.pool[source]
         before = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         lengths = np.diff(before)
         if whole:
