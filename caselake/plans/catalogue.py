@@ -122,7 +122,27 @@ def _dedup_children(spark: SparkSession, d: str) -> DataFrame:
     return versions.dedup(t, versions.keep_list(t["demo"], t))["reac"].select("primaryid", "pt")
 
 
-@register("d06_validate")
+def _kept_sql(name: str, rows: str) -> str:
+    """Share of a table's rows dropped, and its kept rows without a report."""
+    kept = f"(select distinct * from {rows} semi join keep using (primaryid))"
+    return (
+        f"union all select 'dropped_pct_{name}', null, round(100.0 * ((select count(*) from {rows}) - (select count(*) from {kept})) / (select count(*) from {rows}), 1)::double "
+        f"union all select 'orphans_{name}', null, (select count(*)::double from {kept} anti join keep using (primaryid))"
+    )
+
+
+@register(
+    "d06_validate",
+    _versions(
+        "select 'one_row_per_primaryid' as \"check\", count(*) = count(distinct primaryid) as passed, (count(*) - count(distinct primaryid))::double as value from keep "
+        "union all select 'one_row_per_caseid', count(*) = count(distinct caseid), (count(*) - count(distinct caseid))::double from keep "
+        "union all select 'every_case_survives', count(distinct caseid) = 0, count(distinct caseid)::double from cleaned where caseid not in (select caseid from keep) "
+        "union all select 'max_caseversion_kept', count(*) = 0, count(*)::double from keep join ranked using (caseid, primaryid) join (select caseid, max(v) as top from ranked group by 1) using (caseid) where v <> top "
+        "union all select 'no_deleted_cases', count(*) = 0, count(*)::double from keep where caseid in (select c_custkey::varchar from customer where c_custkey % 11 = 3) "
+        "union all select 'dropped_pct_demo', null, round(100.0 * ((select count(*) from cleaned) - (select count(*) from keep)) / (select count(*) from cleaned), 1)::double "
+        + _kept_sql("drug", "(select primaryid, drug_seq, role_cod, drugname, prod_ai from drug)") + _kept_sql("reac", "reac").replace("union", " union", 1) + _kept_sql("outc", "(select *, 1 as one from outc)").replace("union", " union", 1)
+    ),
+)
 def _validate(spark: SparkSession, d: str) -> DataFrame:
     t = _cleaned(spark, d)
     return versions.validate(t, versions.dedup(t, versions.keep_list(t["demo"], t)), _retracted(spark, d))
