@@ -162,8 +162,11 @@ def _distinct(hashes: np.ndarray, text: np.ndarray, n: int):
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links among ``pairs`` (a, b), confirmed on full sets."""
-    texts = docs.select("doc_id", "text")
+    """Links among ``pairs`` (a, b), confirmed on full sets.
+
+    The texts move once, by a merge join at every size; the pairs then meet the few that they name."""
+    named = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    texts = stage(docs.select("doc_id", "text").join(named.hint("merge"), "doc_id", "left_semi"), "texts")
     rows = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
     rows = rows.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
     return rows.select("a", "b", "left", "right").mapInArrow(_verify_batches, "a long, b long").distinct()
@@ -292,7 +295,7 @@ def _last_links(members: DataFrame, comps: DataFrame, signed: DataFrame, docs: D
     kinds = "key long, lo int, hi int, block int, band int, rep long, comp long"
     left = stage(_mixed_blocks(members, comps, signed).mapInArrow(_by_block(_open_members), kinds), "open")
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    rows = left.join(texts, "rep").select(*_PLACE, "text").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    rows = left.hint("merge").join(texts, "rep").select(*_PLACE, "text").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return rows.mapInArrow(_by_block(_exact_links), "a long, b long").distinct()
 
 
