@@ -1,6 +1,8 @@
+import base64
 import os
 import random
 import re
+import string
 from collections import Counter
 
 import numpy as np
@@ -61,3 +63,25 @@ def test_bands_reject_both_ends():
     n = np.array([5000, 5000, 5000, 100])
     ok = C.in_band(n, np.array([0.45, 0.1, 0.97, 1.4]), np.array([0.4, 0.2, 0.5, np.nan]), np.array([0.5, 0.5, 0.99, np.nan]))
     assert ok.tolist() == [True, False, False, True]
+
+
+def verdicts(texts):
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    base = C.base_counts(data, offsets)
+    assert (base["n_words"] >= 50).all() and (2 * base["n_repeat_words"] <= base["n_words"]).all()  # the base rules keep them
+    return C.in_band(np.diff(offsets), *C._ratios(data, offsets)).tolist()
+
+
+def test_bands_reject_noise_and_mild_repetition():
+    rng = random.Random(5)
+    vocab = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 10))) for _ in range(4000)]
+    lines = [" ".join(rng.choice(vocab) for _ in range(12)) for _ in range(200)]
+    cut = lambda s, k: " ".join(s[i : i + k] for i in range(0, len(s), k))
+    printable = string.ascii_letters + string.digits + string.punctuation + " " * 8
+    sizes = (400, 800, 1700, 5000, 40000)
+    assert verdicts([cut(base64.b64encode(rng.randbytes(n)).decode(), 7) for n in sizes]) == [False] * len(sizes)
+    assert verdicts(["".join(rng.choice(printable) for _ in range(n)) for n in (1000, *sizes[2:])]) == [False] * 4
+    plain = ["\n".join(lines[:n]) for n in (20, 60, 200)]
+    mild = ["\n".join(lines[: n - n // 5] + lines[: n // 5]) for n in (20, 60, 200)]  # a fifth of the lines twice
+    assert verdicts(plain) == [True] * 3 and verdicts(mild) == [False] * 3
