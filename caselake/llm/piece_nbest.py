@@ -6,13 +6,14 @@ so the lattice falls apart into chunks at word starts; equal chunks are solved o
 Viterbi pass, vectorised over chunks of one length, gives the best score of every prefix and the best two
 of every chunk.  Those prefix scores are exact heuristics for a backward A-star search, which yields
 a chunk's next segmentations in order of score.  The N best of a whole text differ from its best
-in the N - 1 chunks whose second segmentation costs least, or in a choice among those.
+in the N - 1 chunks whose second segmentation costs least, or in a choice among those.  The paths
+of those chunks are put into the best segmentation's ids, so all N come out with their ids, best first.
 
-Decoding joins the pieces' bytes, and every text is compared with what it was (a text that holds the
+Decoding joins the pieces' bytes, and every text is compared with what it was, for each of its N segmentations (a text that holds the
 space mark itself decodes to a space there, as it does in the library).
 
 Defined results: a null or empty text has no pieces, one segmentation of score 0 and is its own
-decoding; fewer than N segmentations give a shorter list; equal scores count as often as they occur;
+decoding; fewer than N segmentations give shorter lists; the N are distinct, and equal scores count as often as they occur;
 a null id is returned as null; repeated rows come out alike; extra columns are ignored.
 """
 
@@ -40,8 +41,11 @@ KEEP_HITS = 4
 #: How many chunks go through the forward pass together.
 TOGETHER = 4096
 SLICE = 2 << 20
-SCHEMA = "doc_id long, n_pieces long, scores array<double>, ids_crc32 long, decoded boolean"
-IDS_SCHEMA = SCHEMA + ", ids binary"
+SCHEMA = (
+    "doc_id long, n_pieces long, scores array<double>, ids_crc32 long, decoded boolean, "
+    "n_best_pieces array<long>, n_best_crc32 array<long>, n_best_decoded array<boolean>"
+)
+IDS_SCHEMA = SCHEMA + ", ids binary, n_best_ids array<binary>"
 _NEVER = -1e18
 
 
@@ -87,7 +91,7 @@ class Lattice:
         self.first = self.size = self.hits = np.zeros(0, np.int64)
         self.best = self.loss = np.zeros(0)
         self.pool = np.zeros(0, np.int32)
-        self.more: dict[str, list[float]] = {}
+        self.more: dict[str, list[tuple[float, bytes]]] = {}  # the N best of a chunk: loss and ids
 
     def _forget(self) -> None:
         """Keep the chunks met several times since the last time."""
@@ -199,10 +203,28 @@ class Lattice:
                 out[chunk] = _backward(best[r].tolist(), score[:, r, :].tolist(), most)
         return out
 
+    def _ranked(self, chunk: str, found: list[tuple[float, list[tuple[int, int]]]]) -> list[tuple[float, bytes]]:
+        """Loss and ids of a chunk's N best; of equally good ones, that of the forward pass comes first."""
+        k = self.known[chunk]
+        best = self.pool[self.first[k] : self.first[k] + self.size[k]].astype("<u4").tobytes()
+        out = []
+        for score, spans in found:
+            ids: list[int] = []
+            for start, end in spans:
+                piece = self.pieces.get(chunk[start:end])
+                ids += self.byte_id[list(chunk[start:end].encode())].tolist() if piece is None else [piece]
+            out.append((found[0][0] - score, np.array(ids, "<u4").tobytes()))
+        at = next((i for i, (_, ids) in enumerate(out) if ids == best), len(out) - 1)  # else all N are as good
+        return [(0.0, best), *out[:at], *out[at + 1 :]]
+
     # -- whole texts -----------------------------------------------------------------
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """(ids end to end, ids of each text, scores of the N best of each text) of texts laid end to end."""
+        return self.encode_all(data, offsets)[:3]
+
+    def encode_all(self, data: np.ndarray, offsets: np.ndarray):
+        """The same, and for each text the ids (32-bit little-endian) of each of its N best, best first."""
         if len(self.known) > CACHE:
             self._forget()
         chunks: list[str] = []
@@ -230,13 +252,22 @@ class Lattice:
             open_.append(lo + near[np.isfinite(loss[lo + near])])
         wanted = {chunks[k] for k in np.concatenate([*open_, np.zeros(0, np.int64)]).astype(np.int64).tolist()}
         for chunk, found in self.search_all([c for c in wanted if c not in self.more], self.n_best).items():
-            self.more[chunk] = [found[0][0] - s for s, _ in found]
+            self.more[chunk] = self._ranked(chunk, found)
         sums = np.concatenate([[0.0], np.cumsum(self.best[at])])
-        scores = []
+        starts = 4 * np.concatenate([[0], np.cumsum(size)])  # of each chunk in the best ones' bytes
+        flat = ids.astype("<u4").tobytes()
+        scores, every = [], []
         for i, places in enumerate(open_):
             top = float(sums[bounds[i + 1]] - sums[bounds[i]])  # scores are whole numbers: no rounding
-            scores.append([top - x for x in sorted(map(sum, product(*(self.more[chunks[k]] for k in places.tolist()))))[: self.n_best]])
-        return ids, lengths, scores
+            places = np.sort(places).tolist()
+            options = [self.more[chunks[k]] for k in places]
+            losses = map(sum, product(*([x for x, _ in o] for o in options)))
+            picks = sorted(zip(losses, product(*(range(len(o)) for o in options)), strict=True))[: self.n_best]
+            scores.append([top - x for x, _ in picks])
+            cuts = [int(starts[bounds[i]]), *(int(starts[j]) for k in places for j in (k, k + 1)), int(starts[bounds[i + 1]])]
+            between = [flat[s:e] for s, e in zip(cuts[::2], cuts[1::2], strict=True)]
+            every.append([b"".join([between[0], *(x for o, j, rest in zip(options, pick, between[1:], strict=True) for x in (o[j][1], rest))]) for _, pick in picks])
+        return ids, lengths, scores, every
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes end to end, offsets) of the texts; the space put before each text is taken off."""
@@ -309,26 +340,31 @@ def _rows(model_file: str, n_best: int, with_ids: bool) -> Callable:
         for batch in by_size(batches, SLICE):
             data, offsets = buffer_of(text_column(batch))
             solver = lattice(model_file, n_best)
-            ids, lengths, scores = solver.encode(data, offsets)
-            back, places = solver.decode(ids, lengths)
-            ids = ids.astype("<u4")
-            ends = np.cumsum(lengths)
-            spans = list(zip((ends - lengths).tolist(), ends.tolist(), strict=True))
+            _, lengths, scores, every = solver.encode_all(data, offsets)
+            sizes = [[len(x) // 4 for x in one] for one in every]
+            ids = np.frombuffer(b"".join(x for one in every for x in one), "<u4")
+            back, places = solver.decode(ids, np.array([n for one in sizes for n in one], np.int64))
+            back, places = back.tobytes(), iter(zip(places[:-1].tolist(), places[1:].tolist(), strict=True))
+            raw = data.tobytes()
             same = [
-                e2 - s2 == e1 - s1 and np.array_equal(data[s1:e1], back[s2:e2])
-                for s1, e1, s2, e2 in zip(offsets[:-1], offsets[1:], places[:-1], places[1:], strict=True)
+                [back[s2:e2] == raw[s1:e1] for _, (s2, e2) in zip(one, places)]  # noqa: B905
+                for s1, e1, one in zip(offsets[:-1].tolist(), offsets[1:].tolist(), every, strict=True)
             ]
+            crc = [[zlib.crc32(x) for x in one] for one in every]
             columns = [
                 batch.column(0).cast(pa.int64()),
                 pa.array(lengths.astype(np.int64)),
                 pa.array(scores, pa.list_(pa.float64())),
-                pa.array([zlib.crc32(ids[s:e]) for s, e in spans], pa.int64()),
-                pa.array(same, pa.bool_()),
+                pa.array([x[0] for x in crc], pa.int64()),
+                pa.array([x[0] for x in same], pa.bool_()),
+                pa.array(sizes, pa.list_(pa.int64())),
+                pa.array(crc, pa.list_(pa.int64())),
+                pa.array(same, pa.list_(pa.bool_())),
             ]
-            names = ["doc_id", "n_pieces", "scores", "ids_crc32", "decoded"]
+            names = ["doc_id", "n_pieces", "scores", "ids_crc32", "decoded", "n_best_pieces", "n_best_crc32", "n_best_decoded"]
             if with_ids:
-                columns.append(pa.array([ids[s:e].tobytes() for s, e in spans], pa.binary()))
-                names.append("ids")
+                columns += [pa.array([x[0] for x in every], pa.binary()), pa.array(every, pa.list_(pa.binary()))]
+                names += ["ids", "n_best_ids"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows
@@ -336,5 +372,6 @@ def _rows(model_file: str, n_best: int, with_ids: bool) -> Callable:
 
 def segment(docs: DataFrame, model_file: str, n_best: int = N_BEST, with_ids: bool = False) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): pieces of the best segmentation, the scores of the ``n_best`` best,
-    the unsigned crc32 of the best one's ids (32-bit little-endian), whether they decode to the text, and the ids if asked for."""
+    the unsigned crc32 of the best one's ids (32-bit little-endian), whether they decode to the text; number of pieces,
+    crc32 and whether they decode for each of the ``n_best``, best first; and the ids of the best and of each if asked for."""
     return docs.select("doc_id", "text").mapInArrow(_rows(model_file, n_best, with_ids), IDS_SCHEMA if with_ids else SCHEMA)

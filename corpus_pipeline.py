@@ -43,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of the best segmentation, and the scores of the N best."""
+    """Piece ids and scores of the N best segmentations."""
     return piece_nbest.segment(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
 
 

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -75,3 +77,43 @@ def test_library_decodes_the_ids(spark):
     assert got[1].n_pieces == 0 and got[1].scores == [0.0]
     assert got[None].scores == got[7].scores
     assert P.segment(df.where("doc_id < 0"), MODEL).count() == 0
+
+
+@pytest.mark.parametrize("text", ["a", "the cat", "on on on", "  two  gaps ", "été ☃", "\n", "", "the international cats sat on the\nmat " * 40])
+def test_all_segmentations_come_with_their_ids(text):
+    solver = P.Lattice(MODEL, 6)
+    raw = np.frombuffer(text.encode(), np.uint8)
+    ids, lengths, scores, every = solver.encode_all(raw, np.array([0, len(raw)]))
+    assert [len(x) for x in every] == [len(x) for x in scores] and len(set(every[0])) == len(every[0])
+    assert every[0][0] == ids.astype("<u4").tobytes()
+    for score, one in zip(scores[0], every[0], strict=True):
+        found = np.frombuffer(one, "<u4")
+        back, _ = solver.decode(found, np.array([len(found)]))
+        assert back.tobytes().decode() == text
+        own = np.isin(found, solver.byte_id)
+        assert score == pytest.approx(solver.score[found[~own]].sum() + solver.fallback * own.sum())
+
+
+def test_ties_keep_the_best_first_and_distinct():
+    solver = P.Lattice(MODEL, 3)
+    chunk = P.MARK + "ab"
+    solver._solve([chunk])
+    spans = [[(0, 3)], [(0, 1), (1, 3)], [(0, 2), (2, 3)], [(0, 1), (1, 2), (2, 3)]]
+    best = solver.pool[solver.first[0] : solver.first[0] + solver.size[0]].astype("<u4").tobytes()
+    for found in (spans[:3], spans[1:], spans[::-1][:3]):
+        ranked = solver._ranked(chunk, [(-1.0, x) for x in found])
+        assert ranked[0] == (0.0, best) and len(ranked) == len({x for _, x in ranked}) == 3
+
+
+def test_rows_carry_all_segmentations(spark):
+    import sentencepiece
+
+    texts = ["the cat sat on the mat", "", None, "été ☃\n international"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for r in P.segment(df, MODEL, with_ids=True).collect():
+        ids = [np.frombuffer(x, "<u4").tolist() for x in r.n_best_ids]
+        assert len(ids) == len(r.scores) == (4 if texts[r.doc_id] else 1) and r.n_best_ids[0] == r.ids
+        assert r.n_best_pieces == [len(x) for x in ids] and r.n_best_pieces[0] == r.n_pieces
+        assert r.n_best_crc32 == [zlib.crc32(x) for x in r.n_best_ids] and r.n_best_crc32[0] == r.ids_crc32
+        assert all(r.n_best_decoded) and [library.decode(x) for x in ids] == [texts[r.doc_id] or ""] * len(ids)
