@@ -118,3 +118,19 @@ def test_null_ids_are_not_held_out(spark, odd):
     flags = odd.select("doc_id", language_id.held_out(fold(modulus=4), 2).alias("h")).where("doc_id is null").collect()
     assert [r.h for r in flags] == [False]
     assert odd.where(F.col("doc_id").isNull()).where(fold(modulus=4) != 2).count() == 0
+
+
+def test_languages_with_few_rows_have_their_own_cut():
+    names = np.array(["en"] * 400 + ["es"] * 60 + ["nl"] * 2, object)
+    labels = np.array([0, 1] * 200 + [1] * 8 + [0] * 52 + [0] * 2, float)
+    values = np.array([-2.0, 2.0] * 200 + [6.0] * 8 + [3.0] * 52 + [-2.0] * 2)  # the scores of es lie higher
+    cuts = toxicity_cnn.language_cuts(values, labels, np.ones(len(values)), names)
+    assert 3 < cuts["es"] < 6 and -2 < cuts["en"] <= 2 and set(cuts) == {"", "en", "es", "nl"}
+    assert toxicity_cnn.language_cuts(values, labels * 0, np.ones(len(values)), names) == {"": 0.0}
+
+
+def test_calibration_rows_are_dealt_by_language_and_label():
+    names = np.array((["en"] * 9 + ["es"]) * 50, object)
+    labels = np.array([i % 2 for i in range(500)], float)
+    spare = toxicity_cnn.spare_rows(names, labels)
+    assert spare.sum() == 100 and (spare & (names == "es") & (labels == 1)).sum() == 10
