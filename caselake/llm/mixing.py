@@ -9,7 +9,7 @@ is rewritten: each pass replays them over the written table of posteriors and re
 partial totals a partition.
 
 The classifier is naive Bayes over hashed words with a tempered posterior; its counts come from a
-bounded sample (SAMPLE rows in expectation, chosen by a hash of doc_id) and fill BUCKETS x domains numbers.
+bounded sample (SAMPLE rows in expectation, dealt evenly over domains by a hash of doc_id) and fill BUCKETS x domains numbers.
 
 Defined results: a null or empty text has 0 tokens, the prior as posterior, and whatever rate
 its posterior earns; a null id is never learned from and is returned as null; equal rows get equal
@@ -34,6 +34,8 @@ from .common import buffer_of, by_size, stage, text_column
 SAMPLE = 6_000
 BUCKETS = 1 << 14
 MAX_DOMAINS = 1_000
+#: Sampled rows of each domain in expectation, however many domains share the sample.
+LEAST_PER_DOMAIN = 20
 STEPS = 60
 TOLERANCE = 1e-4
 #: Target shares are natural shares to this power: below 1 it lifts the small domains.
@@ -73,7 +75,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Learn from ``labelled`` (doc_id, text, domain); rows with a null in any of them are left out."""
+    """Learn from ``labelled`` (doc_id, text, domain), sampled evenly over domains; rows with a null in any of them are left out."""
     rows = labelled.select("doc_id", "text", F.col("domain").cast("string").alias("domain")).dropna()
     sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).limit(MAX_DOMAINS + 1).collect()}
     if len(sizes) > MAX_DOMAINS:
@@ -82,7 +84,9 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Classifier:
     logs, prior = np.zeros((BUCKETS, len(domains))), np.full(len(domains), 1 / len(domains))
     if sizes:
         lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-        picked = rows.where(lot < min(1.0, sample / sum(sizes.values())))
+        each = max(sample / len(sizes), LEAST_PER_DOMAIN)
+        shares = F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, min(1.0, each / n))])
+        picked = rows.where(lot < F.element_at(shares, F.col("domain")))
         counts = picked.mapInArrow(_count_batches, "domain string, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toArrow()
         seen = np.full((BUCKETS, len(domains)), 0.1)
         at = {d: i for i, d in enumerate(domains)}

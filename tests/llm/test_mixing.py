@@ -62,3 +62,14 @@ def test_empty_and_unlabelled(spark):
     assert M.rates(none, M.learn(docs))[0].count() == 0
     rated, fit = M.rates(docs, M.learn(none))
     assert fit.domains == [""] and rated.agg({"rate": "max"}).first()[0] == 1.0
+
+
+def test_small_domains_are_sampled_too(spark):
+    rows = [(i, "alpha beta gamma", "big") for i in range(4000)] + [(5000 + i, "delta omega", "small") for i in range(12)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    model = M.learn(labelled, sample=40)
+    small = model.logs[:, model.domains.index("small")]
+    assert small.max() - small.min() > 1
+    docs = spark.createDataFrame([(1, "delta omega delta omega"), (2, "alpha beta gamma")], "doc_id long, text string")
+    got = {r.doc_id: model.domains[int(np.argmax(r.posterior))] for r in M.posteriors(docs, model).collect()}
+    assert got == {1: "small", 2: "big"}
