@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..shared import stage
 from .identity import band, name_lookup, placeholder
 
 # Rows from which a name or string counts as head, upper-mid or mid.
@@ -40,13 +41,17 @@ def tagged_families(resolved: DataFrame, ladder: list[tuple[str, list[str]]]) ->
 def name_ranks(drug: DataFrame) -> DataFrame:
     """Names by frequency with rank, running sum and running share.
 
-    The ranking is global, so it is computed on the counted names, far fewer than rows.
-    """
+    Names are dealt to ranges in order of frequency; each range is ranked by itself and moved by what the ranges before
+    it hold, so no task sees all names.  Only one row a range meets in one task."""
     counts = drug.where("role_cod = 'PS' and drugname is not null and drugname <> ''").groupBy("drugname").agg(F.count("*").alias("n"))
-    order = W.orderBy(F.desc("n"), "drugname")
-    total = counts.agg(F.sum("n").alias("total"))
-    ranked = counts.select("drugname", "n", F.row_number().over(order).alias("rk"), F.sum("n").over(order).alias("cum_n"))
-    return ranked.crossJoin(F.broadcast(total)).select("drugname", "n", "rk", "cum_n", (F.col("cum_n").cast("double") / F.col("total")).alias("cum_pct"))  # total: one row
+    n = int(drug.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = stage(counts.repartitionByRange(n, F.desc("n"), "drugname").withColumn("part", F.spark_partition_id()), "ranges")
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = ranges.groupBy("part").agg(F.count("*").alias("k"), F.sum("n").alias("s"))
+    moved = sizes.select("part", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("k0"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s0"), F.sum("s").over(W.partitionBy()).alias("total"))
+    order = W.partitionBy("part").orderBy(F.desc("n"), "drugname")
+    ranked = ranges.select("part", "drugname", "n", F.row_number().over(order).alias("k"), F.sum("n").over(order).alias("s")).join(F.broadcast(moved), "part")  # a row a range
+    return ranked.select("drugname", "n", (F.col("k0") + F.col("k")).cast("int").alias("rk"), (F.col("s0") + F.col("s")).alias("cum_n"), ((F.col("s0") + F.col("s")).cast("double") / F.col("total")).alias("cum_pct"))
 
 
 def name_totals(drug: DataFrame) -> DataFrame:
@@ -167,16 +172,28 @@ def _properties(w) -> DataFrame:
     return w["related"].select("rxcui", F.col("in_name").alias("rxcui_name"), tty.alias("tty"))
 
 
+_BANDS = "(values ('low_support', 0, 5, 0.0, 1.1), ('ambiguous', 5, 1e18, 0.0, 0.8), ('mostly', 5, 1e18, 0.8, 0.95), ('pure', 5, 1e18, 0.95, 1.1)) graded(band, s0, s1, p0, p1)"
+_STRATA = "(values ('tail', 1, 3), ('mid', 3, 40), ('upper-mid', 40, 1000), ('head', 1000, 1e18)) layer(stratum, n0, n1)"
+
+
 def _coverage_sql(name: str) -> str:
-    both = "drugname" if name == "drugname" else f"drugname, {name}"
+    """Both the bands and the strata as tables of limits; shares of the one total."""
     return (
-        f"select stratum, band, count(*) as names, sum(n)::bigint as n_rows, round(sum(n) * 100 / sum(sum(n)) over (), 1) as pct_rows from (select {_STRATUM} as stratum, case when support is null then 'no_match' when support < 5 then 'low_support' when purity >= 0.95 then 'pure' when purity >= 0.8 then 'mostly' else 'ambiguous' end as band, n "
-        f"from (select {both}, count(*) as n from drug where prod_ai is null and role_cod = 'PS' group by all) t left join (select {name}, sum(n) as support, max(n) / sum(n) as purity from (select {name}, prod_ai, count(*) as n from drug where prod_ai is not null group by all) group by 1) l using ({name})) group by 1, 2"
+        f"select * from (with asked as (select drugname, any_value({name}) as key, count(*) as n from drug where prod_ai is null and role_cod = 'PS' group by drugname), "
+        f"seen as (select key, sum(k) as support, max(k) / sum(k) as purity from (select {name} as key, count(*) as k from drug where prod_ai is not null group by {name}, prod_ai) group by key), "
+        f"known as (select key, band from seen join {_BANDS} on support >= s0 and support < s1 and purity >= p0 and purity < p1) "
+        f"select stratum, coalesce(band, 'no_match') as band, count(*) as names, sum(n)::bigint as n_rows, round(100 * sum(n) / (select sum(n) from asked), 1) as pct_rows "
+        f"from asked join {_STRATA} on n >= n0 and n < n1 left join known using (key) group by all)"
     )
 
 
 _EXACT = f"(select distinct r.piece from rxcui r join {_PROPERTIES} p on p.rxcui = r.rxcui and r.piece = upper(p.rxcui_name))"
 
+_STATUS = (
+        rf"select prod_ai, n as n_rows, {_STRATUM} as stratum, case when prod_ai like '% OR %' then 'ambiguous' when bool_or(s = 3) then 'no_match' when bool_or(s = 2) then 'non_specific' when bool_or(s = 1) then 'normalized' else 'exact' end as status from (select prod_ai, n, case when piece in (select piece from {_EXACT}) then 0 when piece in (select piece from rxcui where rxcui is not null) then 1 when piece like '% NOS' then 2 else 3 end as s "
+        r"from (select prod_ai, n, upper(trim(unnest(string_split(prod_ai, '\')))) as piece from (select prod_ai, count(*) as n from drug where prod_ai is not null group by 1)) where piece <> '') group by 1, 2"
+)
+
 #: name: (DataFrame form over a warehouse, SQL over its relations)
 STUDIES: dict[str, tuple[Callable, str]] = {
     "z01_tagged_families": (
@@ -186,7 +203,8 @@ STUDIES: dict[str, tuple[Callable, str]] = {
     ),
     "z02_name_ranks": (
         lambda w: name_ranks(w["stg_drug"]).select("drugname", "n", "rk", "cum_n", F.round("cum_pct", 6).alias("cum_pct")),
-        "select drugname, n, row_number() over (order by n desc, drugname)::int as rk, (sum(n) over (order by n desc, drugname))::bigint as cum_n, round((sum(n) over (order by n desc, drugname)) / (sum(n) over ()), 6) as cum_pct from (select drugname, count(*) as n from drug where role_cod = 'PS' group by 1)",
+        "select * from (with counts as (select drugname, count(*) as n from drug where role_cod = 'PS' group by 1) select x.drugname, x.n, count(*)::int as rk, sum(y.n)::bigint as cum_n, round(sum(y.n) / (select sum(n) from counts), 6) as cum_pct "
+        "from counts x join counts y on y.n > x.n or (y.n = x.n and y.drugname <= x.drugname) group by 1, 2)",
     ),
     "z02_name_totals": (lambda w: name_totals(w["stg_drug"]), "select count(*) as distinct_names, count_if(n = 1)::bigint as singletons from (select drugname, count(*) as n from drug where role_cod = 'PS' group by 1)"),
     "z03_residual": (
@@ -211,10 +229,7 @@ STUDIES: dict[str, tuple[Callable, str]] = {
         lambda w: containment(w["stg_drug"], w["rxcui"], w["related"], _properties(w)),
         f"select not all_found as flagged, count(*) as n_pieces, sum(n_rows)::bigint as n_rows from (select piece, n_rows, bool_and(contains(lower(piece), lower(in_name))) as all_found from rxcui join related using (rxcui) join {_PIECES} using (piece) where piece not in (select piece from {_EXACT}) group by 1, 2) group by 1",
     ),
-    "z13_string_status": (
-        lambda w: string_status(w["stg_drug"], w["rxcui"], _properties(w)),
-        rf"select prod_ai, n as n_rows, {_STRATUM} as stratum, case when prod_ai like '% OR %' then 'ambiguous' when bool_or(s = 3) then 'no_match' when bool_or(s = 2) then 'non_specific' when bool_or(s = 1) then 'normalized' else 'exact' end as status from (select prod_ai, n, case when piece in (select piece from {_EXACT}) then 0 when piece in (select piece from rxcui where rxcui is not null) then 1 when piece like '% NOS' then 2 else 3 end as s "
-        r"from (select prod_ai, n, upper(trim(unnest(string_split(prod_ai, '\')))) as piece from (select prod_ai, count(*) as n from drug where prod_ai is not null group by 1)) where piece <> '') group by 1, 2",
-    ),
+    "z13_string_status": (lambda w: string_status(w["stg_drug"], w["rxcui"], _properties(w)), _STATUS),
+    "z13_top_unmatched": (lambda w: top_unmatched_strings(string_status(w["stg_drug"], w["rxcui"], _properties(w))), f"select * from ({_STATUS}) where status = 'no_match' order by n_rows desc, prod_ai limit 20"),
     "z14_match_histogram": (lambda w: match_histogram(w["rxcui"]), "select n, count(*) as group_n from (select piece, count(rxcui) as n from rxcui group by 1 having count(rxcui) > 1) group by 1"),
 }

@@ -51,8 +51,10 @@ def dedup(tables: dict[str, DataFrame], keep: DataFrame) -> dict[str, DataFrame]
     """The kept rows: demo by both ids and one row a report (the fullest), children by report."""
     demo = tables["demo"]
     kept = demo.distinct().join(keep, ["caseid", "primaryid"], "left_semi")
-    order = W.partitionBy("primaryid").orderBy(_richness(demo).desc(), *(F.col(f"`{c}`").asc_nulls_last() for c in demo.columns))
-    out = {"demo": kept.withColumn("__rk", F.row_number().over(order)).where("__rk = 1").drop("__rk").select(*demo.columns)}
+    # the least of (fewest gaps, then values) by report, carried as one struct: no name is added to the row's own
+    row = F.struct((-_richness(demo)).alias("gaps"), *(F.struct(F.col(f"`{c}`").isNull().alias("gap"), F.col(f"`{c}`").alias("value")).alias(f"c{i}") for i, c in enumerate(demo.columns)))
+    least = kept.select("primaryid", row.alias("row")).groupBy("primaryid").agg(F.min("row").alias("row"))
+    out = {"demo": least.select(*(F.col(f"row.c{i}.value").alias(c) for i, c in enumerate(demo.columns)))}
     ids = keep.select("primaryid").distinct()
     for name, df in tables.items():
         if name != "demo":

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -36,20 +35,22 @@ WAREHOUSE: dict[str, Node] = {
     "fact": (("pairs", "demographics", "stg_outc"), star.fact),
 }
 
+#: Relations that several others read and that cost more to build than to write.
+WRITTEN = ("stg_drug", "resolved", "strings", "piece_identity", "string_identity", "pairs", "contingency", "pair_quarters", "signals")
+
 
 class Warehouse:
-    """Relations by name over the given sources; ``materialise`` cuts a relation's plan where several read it."""
+    """Relations by name over the given sources; ``materialise`` writes a relation that several others read, once."""
 
     def __init__(self, sources: dict[str, DataFrame], materialise: Callable[[str, DataFrame], DataFrame] | None = None):
         self.built = dict(sources)
         self.materialise = materialise
-        self.readers = Counter(d for deps, _ in WAREHOUSE.values() for d in deps)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.built:
             deps, make = WAREHOUSE[name]
             df = make(*(self[d] for d in deps))
-            if self.materialise and self.readers[name] > 1:
+            if self.materialise and name in WRITTEN:
                 df = self.materialise(name, df)
             self.built[name] = df
         return self.built[name]

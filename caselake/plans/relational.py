@@ -53,10 +53,14 @@ _add("j03_j04_left", "customer orders", "select c_custkey, o_orderkey from custo
 _add("j05_multi_key", "lineitem", "select a.l_orderkey, a.l_linenumber, n from lineitem a left join (select l_orderkey, l_linenumber, count(*) as n from lineitem where l_returnflag = 'A' group by 1, 2) b using (l_orderkey, l_linenumber)")(
     lambda t: t.select("l_orderkey", "l_linenumber").join(t.where("l_returnflag = 'A'").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")), ["l_orderkey", "l_linenumber"], "left")
 )
-_add("j06_expression_key", "nation region", "select n_name, r_name from nation join region on n_regionkey = r_regionkey and upper(r_name) > upper(left(n_name, 1))")(lambda n, r: n.join(r, (F.col("n_regionkey") == F.col("r_regionkey")) & (F.upper("r_name") > F.upper(F.left("n_name", F.lit(1))))).select("n_name", "r_name"))
+_add("j06_expression_key", "part nation", "select p_partkey, n_name from part join nation on p_partkey % 25 = n_nationkey and upper(left(p_type, 1)) = chr(65 + n_regionkey + 11)")(
+    lambda p, n: p.join(n, (F.col("p_partkey") % 25 == F.col("n_nationkey")) & (F.upper(F.left("p_type", F.lit(1))) == F.char(F.col("n_regionkey") + 76))).select("p_partkey", "n_name")
+)
 _add("j07_cross_total", "region nation", "select r_name, n from region cross join (select count(*) as n from nation)")(lambda r, n: r.select("r_name").crossJoin(F.broadcast(n.agg(F.count("*").alias("n")))))  # one row
 _add("j08_j09_semi", "orders lineitem", "select o_orderkey from orders semi join (select * from lineitem where l_returnflag = 'R') l on o_orderkey = l_orderkey")(lambda o, t: o.join(t.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi").select("o_orderkey"))
-_add("j10_j13_anti", "customer orders", "select c_custkey from customer left join orders on c_custkey = o_custkey where o_orderkey is null")(lambda c, o: c.join(o, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey"))
+_add("j10_j13_anti", "customer orders", "select c_custkey from customer left join (select * from orders where o_orderpriority = '1-URGENT') on c_custkey = o_custkey where o_orderkey is null")(
+    lambda c, o: c.join(o.where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+)
 _add("j11_not_in", "customer orders", "select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'F')")(lambda c, o: c.sparkSession.sql("select c_custkey from {c} where c_custkey not in (select o_custkey from {o} where o_orderstatus = 'F')", c=c, o=o))
 _add("j12_in_case", "part lineitem", "select p_partkey, case when p_partkey in (select l_partkey from lineitem where l_discount > 0.09) then 'cut' else 'full' end as kind from part")(
     lambda p, t: p.join(t.where("l_discount > 0.09").select(F.col("l_partkey").alias("p_partkey")).distinct().withColumn("hit", F.lit(True)), "p_partkey", "left").select("p_partkey", F.when(F.col("hit"), "cut").otherwise("full").alias("kind"))
@@ -104,7 +108,7 @@ _add("o04_distinct", "orders", "select distinct o_orderstatus, o_custkey from or
 _add("u01_u02_union", "customer supplier", "select c_name as name, c_nationkey as nation, 'c' as kind from customer union all by name select s_name as name, 's' as kind, s_nationkey as nation from supplier")(
     lambda c, s: c.select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.lit("c").alias("kind")).unionByName(s.select(F.col("s_name").alias("name"), F.lit("s").alias("kind"), F.col("s_nationkey").alias("nation")))
 )
-_add("u03_except", "customer orders", "select c_custkey as k from customer except select o_custkey as k from orders")(lambda c, o: c.select(F.col("c_custkey").alias("k")).subtract(o.select(F.col("o_custkey").alias("k"))))
+_add("u03_except", "customer orders", "select c_custkey as k from customer except select o_custkey as k from orders where o_orderstatus = 'P'")(lambda c, o: c.select(F.col("c_custkey").alias("k")).subtract(o.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k"))))
 _add("n01_n05_split_explode", "part", "select p_partkey, unnest(string_split(p_name, ' ')) as word from part")(lambda p: p.select("p_partkey", F.explode(F.split("p_name", " ")).alias("word")))
 _add("n03_struct_path", "events", "select event_id, (json_extract(props, '$.k'))::int as k from events")(lambda e: e.select("event_id", F.from_json("props", "struct<k:int>")["k"].alias("k")))
 _add("n04_extract_all", "part", "select p_partkey, unnest(regexp_extract_all(p_type || ' (' || p_name || ')', '\\(([^()]*)\\)', 1)) as inner_text from part")(

@@ -9,10 +9,11 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from caselake import shared
 from caselake.functions.text import clean_name, partial_date, pieces, surrogate_key
 from caselake.operators import identity, measures, pairs, serving, staging, star, versions
 from caselake.plans import dag
-from caselake.sources import eras, extracts
+from caselake.sources import eras, extracts, remote
 
 
 def test_clean_name(spark):
@@ -107,6 +108,105 @@ def test_repair(spark, tmp_path):
         extracts.check_line_ends(b"a\rb\r\nc\n")
 
 
+def test_glued_records_with_a_rest(spark, tmp_path):
+    """A line of two headers' width or more is always parted; what the last record has too much is cut by the scan."""
+    (tmp_path / "x.txt").write_text("1$a$b$2$c$d$e$f\n3$g$h$4$i$j$5$k$l$ \n")
+    got = sorted(tuple(r) for r in extracts.read_delimited(spark, str(tmp_path / "x.txt"), ["id", "x", "y"]).collect())
+    assert got == [("1", "a", "b"), ("2", "c", "d"), ("3", "g", "h"), ("4", "i", "j"), ("5", "k", "l")]
+
+
+def _zip(path, **members):
+    with zipfile.ZipFile(path, "w") as z:
+        for name, body in members.items():
+            z.writestr(name.replace("__", "/") + ".txt", body)
+    return str(path)
+
+
+def test_read_archives(spark, tmp_path):
+    head = "ISR$CASE$" + "$".join(f"f{i}" for i in range(10))
+    line = "8129732$" + "$".join(str(i) for i in range(1, 13))
+    archives = {
+        "2012q1": _zip(tmp_path / "a.zip", ascii__DEMO12Q1=f"{head}\r\n{line}\r\n1$2\r\n\r\n", ascii__demo12q1_new="ISR$CASE\n5$6$ \n7$8$9$10"),
+        "2020q2": _zip(tmp_path / "b.zip", DEMO20Q2="primaryid$caseid$sex \n11$12$F", deleted__delete20q2="4\n\n 4 \n"),
+    }
+    rows = {(r.quarter, r.primaryid): r for r in extracts.read_archives(spark, archives, "demo").collect()}
+    assert set(rows) == {("2012q1", x) for x in ("8129732", "1", "5", "7", "9")} | {("2020q2", "11")}
+    assert rows["2012q1", "8129732"].f7 == "9\uff0410" and rows["2012q1", "8129732"].f9 == "12" and rows["2012q1", "1"].f0 is None
+    assert rows["2020q2", "11"].sex == "F" and rows["2020q2", "11"].f0 is None and rows["2012q1", "9"].caseid == "10"
+    assert [r.caseid for r in extracts.read_deleted(spark, archives).collect()] == ["4"]
+    with pytest.raises(extracts.BrokenExtract):
+        extracts.read_archives(spark, archives, "ther")
+    bare = {"2012q1": _zip(tmp_path / "c.zip", DEMO12Q1="ISR$CASE\r\n1$2\r\n3\r$4\n")}
+    with pytest.raises(PySparkException):
+        extracts.read_archives(spark, bare, "demo").collect()
+    unknown = {"2012q1": _zip(tmp_path / "d.zip", DEMO12Q1="ISR$CASE\n1$2$3$x\n1$2$3\n")}
+    with pytest.raises(PySparkException):
+        extracts.read_archives(spark, unknown, "demo").collect()
+
+
+def test_remote(tmp_path):
+    asked = []
+
+    def fetch(url):
+        asked.append(url)
+        yield b"zip"
+        if len(asked) == 1:
+            raise OSError("broken off")
+
+    with pytest.raises(OSError):
+        remote.download("2012q3", str(tmp_path), "https://example.org/exports/", fetch)
+    place = remote.download("2012q3", str(tmp_path), "https://example.org/exports/", fetch)
+    assert remote.download("2012q3", str(tmp_path), "https://example.org/exports/", fetch) == place and open(place, "rb").read() == b"zip"
+    assert asked == ["https://example.org/exports/aers_ascii_2012q3.zip"] * 2
+    waits, answers = [], {"A": (200, {"x": 1}), "B": (500, {})}
+    folder = str(tmp_path / "rxcui")
+    assert remote.fetch_responses(["A", "B", "A"], folder, "piece", "v1", answers.get, waits.append) == {"fetched": 1, "failed": 1, "present": 1}
+    assert waits == [remote.THROTTLE] * 2
+    body = json.load(open(f"{folder}/6dcd4ce23d88e2ee9568ba546c007c63d9131c1b.json"))
+    assert body == {"piece": "A", "rxnorm_version": "v1", "response": {"x": 1}}
+    with pytest.raises(ValueError):
+        remote.fetch_responses([], folder, "piece", "v2", answers.get, waits.append)
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    df = spark.range(3)
+    with shared.scope() as outer:
+        a = shared.stage(df, "a")
+        with shared.scope() as inner:
+            b, c = shared.stage(df, "b"), shared.stage(df, "c")
+            inner.keep(c)
+        assert shared.is_staged(a) and not shared.is_staged(b) and shared.is_staged(c)
+        outer.keep(a)
+    assert a.count() == 3 and not shared.is_staged(c)
+    shared.drop_staged(a)
+    assert not shared.is_staged(a)
+
+
+def test_machine_local_folder_is_refused_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Undefined:
+        def isDefined(self):
+            return False
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    Context._jsc = type("Java", (), {"sc": lambda self: type("Scala", (), {"getCheckpointDir": lambda self: Undefined()})()})()
+    with pytest.raises(RuntimeError):
+        shared.shared_dir(Session())
+
+
+def test_dedup_keeps_clashing_names(spark):
+    demo = spark.createDataFrame([("1", "c", "2", None, 5), ("1", "c", "2", "x", 4)], "primaryid string, caseid string, caseversion string, __rk string, gaps int")
+    kept = versions.dedup({"demo": demo}, spark.createDataFrame([("c", "1")], "caseid string, primaryid string"))["demo"]
+    assert kept.columns == demo.columns and kept.collect()[0]["__rk"] == "x" and kept.count() == 1
+
+
 def test_embedded_delimiter(spark, tmp_path):
     head = [f"f{i}" for i in range(12)]
     (tmp_path / "x.txt").write_text("8129732$" + "$".join(str(i) for i in range(1, 13)) + "\n")
