@@ -6,31 +6,12 @@ import numpy as np
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
-_MASK = 2**64 - 1
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers = np.ones(1, _U)
-_inverse = np.ones(1, _U)
-
-
-def _tables(n: int):
-    """Powers of the hash base and of its inverse modulo 2**64, for n positions."""
-    global _powers, _inverse
-    if len(_powers) < n:
-        size = max(n, 1 << 16)
-        step = np.full(size, _BASE, _U)
-        step[0] = 1
-        back = np.full(size, pow(_BASE, -1, 2**64), _U)
-        back[0] = 1
-        if size > 1 << 23:
-            return np.cumprod(step), np.cumprod(back)
-        _powers, _inverse = np.cumprod(step), np.cumprod(back)
-    return _powers, _inverse
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit (the splitmix64 finaliser)."""
@@ -43,12 +24,89 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class SpanHash:
-    """Hashes of any spans of one buffer, from prefix sums of a polynomial modulo 2**64."""
+    """Hashes of any spans of one buffer: the sum, over a span's blocks of 8 bytes, of each block mixed with its place.
+
+    Spans of equal items hash alike in every buffer of one item size.  Where equality decides a result, ``same`` confirms it."""
+
+    def __init__(self, data: np.ndarray):
+        width = data.itemsize
+        self.per = 8 // width  # items in a block
+        padded = np.zeros(len(data) + self.per, data.dtype)
+        padded[: len(data)] = data
+        self.blocks = np.ndarray(len(data) + 1, "<u8", padded, 0, (width,)).copy()
+        self.masks = np.array([(1 << (8 * width * k)) - 1 for k in range(self.per + 1)], _U)
+
+    def _rest(self, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(owner, number, bytes) of every block behind the first one, by owner."""
+        more = np.maximum(-(-size // self.per) - 1, 0)
+        owner = np.repeat(np.arange(len(size)), more)
+        k = np.arange(1, len(owner) + 1) - np.repeat(np.cumsum(more) - more, more)
+        left = np.minimum(size[owner] - k * self.per, self.per)
+        return owner, k, self.blocks[starts[owner] + k * self.per] & self.masks[left]
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        size = ends - starts
+        total = mix((self.blocks[starts] & self.masks[np.minimum(size, self.per)]) + _U(0x9E3779B97F4A7C15))
+        owner, k, block = self._rest(starts, size)
+        if len(owner):
+            sums = np.zeros(len(owner) + 1, _U)
+            np.cumsum(mix(block ^ mix(k.astype(_U) * _U(0xD1342543DE82EF95))), out=sums[1:])
+            edge = np.searchsorted(owner, np.arange(len(size) + 1))
+            total += sums[edge[1:]] - sums[edge[:-1]]
+        return mix(total + size.astype(_U) * _U(0x8CB92BA72F3D8DD7))
+
+    def same(self, starts: np.ndarray, ends: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Do the spans numbered ``i`` hold the same items as those numbered ``j``?"""
+        size = (ends - starts)[i]
+        out = size == (ends - starts)[j]
+        i, j, size = i[out], j[out], size[out]
+        mask = self.masks[np.minimum(size, self.per)]
+        equal = (self.blocks[starts[i]] & mask) == (self.blocks[starts[j]] & mask)
+        owner, _, block = self._rest(starts[i], size)
+        equal[owner[block != self._rest(starts[j], size)[2]]] = False
+        out[out] = equal
+        return out
+
+
+def exact(keys: np.ndarray, same) -> np.ndarray:
+    """``keys``, changed where items that share one differ: afterwards equal keys mean equal items.
+
+    ``same(i, j)`` says which of the items numbered ``i`` equal those numbered ``j``."""
+    while True:
+        order = np.argsort(keys)
+        ranked = keys[order]
+        first = np.append(True, ranked[1:] != ranked[:-1])[: len(keys)]
+        rest = np.flatnonzero(~first)
+        leader = order[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))[rest]]
+        wrong = order[rest[~same(order[rest], leader)]]
+        if not len(wrong):
+            return keys
+        keys = keys.copy()
+        keys[wrong] = mix(keys[wrong] + _U(1))
+
+
+_tables = [np.ones(1, _U), np.ones(1, _U)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The first n powers of the hash base and of its inverse modulo 2**64, at least."""
+    if len(_tables[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            step = np.full(max(n, 1 << 16), base, _U)
+            step[0] = 1
+            _tables[k] = np.cumprod(step)
+    return _tables
+
+
+class ShortHash:
+    """Hashes of spans of some tens of items, from prefix sums of a polynomial modulo 2**64.
+
+    Cheaper than SpanHash for many overlapping spans; long spans (a thousand items) can be built to collide."""
 
     def __init__(self, data: np.ndarray):
-        self.powers, self.inverse = _tables(len(data) + 1)
+        powers, self.inverse = _powers(len(data) + 1)
         self.prefix = np.zeros(len(data) + 1, _U)
-        np.cumsum((data.astype(_U) + _U(1)) * self.powers[: len(data)], out=self.prefix[1:])
+        np.cumsum((data.astype(_U) + _U(1)) * powers[: len(data)], out=self.prefix[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.prefix[ends] - self.prefix[starts]) * self.inverse[starts])
@@ -85,8 +143,8 @@ def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(is the key found twice or more, is it a later one than its first) for each position."""
-    order = np.argsort(keys, kind="stable")
+    """(is the key found twice or more, is it one of all but one of the positions with its key) for each position."""
+    order = np.argsort(keys)
     ranked = keys[order]
     same = np.zeros(len(keys) + 1, bool)
     same[1:-1] = ranked[1:] == ranked[:-1]

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_DIRS: list[str] = []
+from ..shared import drop_staged, new_path, scope, stage
+
+__all__ = ["buffer_of", "bucket_placer", "by_size", "drop_staged", "fold", "meet", "new_path", "partitions", "read_documents", "scope", "stage", "text_column"]
 
 
 def read_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -23,44 +21,6 @@ def read_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame
     return docs.select(*columns) if columns else docs
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only when the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    known = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if known.isDefined():
-        return known.get().rstrip("/")
-    if not _LOCAL_DIRS:
-        _LOCAL_DIRS.append(tempfile.mkdtemp(prefix="caselake-"))
-        atexit.register(shutil.rmtree, _LOCAL_DIRS[0], ignore_errors=True)
-    return _LOCAL_DIRS[0]
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/caselake/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, lost executors lose nothing."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    back._staged_path = path
-    return back
-
-
-def drop_staged(*tables: DataFrame | None) -> None:
-    """Delete staged tables that no later plan reads."""
-    for table in tables:
-        path = getattr(table, "_staged_path", None)
-        if path:
-            jvm = table.sparkSession._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -118,3 +78,11 @@ def bucket_placer(ids: DataFrame, n: int, key: str = "doc_id"):
         return pd.Series(np.where(missing, n - 1, where).astype(np.int32))
 
     return lambda rows: rows.withColumn("bucket", place(F.col(key).cast("long")))
+
+
+def meet(rows: DataFrame, picked: DataFrame, most: int) -> DataFrame:
+    """``rows`` that ``picked`` (doc_id and more columns) names, with those columns.
+
+    The ids go to the rows, whose texts stay where they are read; if more than ``most`` were picked, both are shuffled."""
+    picked = stage(picked, "picked")
+    return rows.join(F.broadcast(picked) if picked.count() <= most else picked, "doc_id")

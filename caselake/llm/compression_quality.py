@@ -50,7 +50,7 @@ WHOLE_BANDS = (
     (float("inf"), 0.32, 0.60),
 )
 CHUNK = 2048
-#: A last chunk under this length is judged with the whole text only.
+#: A last chunk under this length is judged together with the chunk before it; a whole text under it has no chunks.
 LEAST_CHUNK = 512
 #: Chunks of good documents have 0.43 to 0.70, of base64 0.77 and more.
 CHUNK_BAND = (0.40, 0.73)
@@ -87,14 +87,19 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     worded = filled[ends] > filled[starts]
     starts, ends, line_text = starts[worded], ends[worded], line_text[worded]
     salt = B.mix(line_text.astype(np.uint64) + np.uint64(1))
-    _, later = B.repeated(B.mix(spans(starts, ends) ^ salt))
+    _, later = B.repeated(B.exact(B.mix(spans(starts, ends) ^ salt), lambda i, j: (line_text[i] == line_text[j]) & spans.same(starts, ends, i, j)))
     out["n_dup_lines"] = np.bincount(line_text[later], minlength=n).astype(np.int64)
     # three-word windows
-    h = spans(words.starts, words.ends)
+    h = B.exact(spans(words.starts, words.ends), lambda i, j: spans.same(words.starts, words.ends, i, j))
     inside = np.flatnonzero(words.text[2:] == words.text[:-2]) if len(h) > 2 else np.zeros(0, np.int64)
     salt = B.mix(words.text[inside].astype(np.uint64) + np.uint64(1))
-    key = B.mix(B.mix(h[inside] + salt) * np.uint64(3) + h[inside + 1])
-    many, _ = B.repeated(B.mix(key * np.uint64(5) + h[inside + 2]))
+    key = B.mix(B.mix(B.mix(h[inside] + salt) * np.uint64(3) + h[inside + 1]) * np.uint64(5) + h[inside + 2])
+
+    def alike(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        i, j = inside[i], inside[j]
+        return (words.text[i] == words.text[j]) & (h[i] == h[j]) & (h[i + 1] == h[j + 1]) & (h[i + 2] == h[j + 2])
+
+    many, _ = B.repeated(B.exact(key, alike))
     hit = B.covered(inside[many], 3, len(h))
     out["n_repeat_words"] = np.bincount(words.text[hit], minlength=n).astype(np.int64)
     return out
@@ -112,7 +117,10 @@ def _ratios(data: np.ndarray, offsets: np.ndarray):
             if len(raw) >= LEAST_CHUNK:
                 low[i] = high[i] = whole[i]
             continue
-        found = [len(press.compress(c)) / len(c) for c in (raw[k : k + CHUNK] for k in range(0, len(raw), CHUNK)) if len(c) >= LEAST_CHUNK]
+        cuts = list(range(0, len(raw), CHUNK))
+        if len(raw) - cuts[-1] < LEAST_CHUNK:
+            cuts.pop()
+        found = [len(press.compress(raw[k:m])) / (m - k) for k, m in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
         low[i], high[i] = min(found), max(found)
     return whole, low, high
 

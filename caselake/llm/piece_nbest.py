@@ -72,7 +72,7 @@ class Lattice:
         names = list(self.pieces)
         points = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
         ends = np.cumsum([len(x) for x in names])
-        keys = B.SpanHash(points)(ends - [len(x) for x in names], ends)
+        keys = B.ShortHash(points)(ends - [len(x) for x in names], ends)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array([self.pieces[x] for x in names])[order]
         self.maybe = np.zeros(1 << 20, bool)
@@ -112,7 +112,7 @@ class Lattice:
         reach = min(n, self.longest)
         score = np.full((reach + 1, m, n), _NEVER)
         ids = np.full((reach + 1, m, n), -2, np.int32)
-        spans = B.SpanHash(points.ravel())
+        spans = B.ShortHash(points.ravel())
         flat = np.arange(m * n).reshape(m, n)
         for length in range(1, reach + 1):
             at = flat[:, : n - length + 1]

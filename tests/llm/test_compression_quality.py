@@ -39,6 +39,29 @@ def test_base_counts_match_brute_force(texts):
     assert counts(texts) == [brute(t) for t in texts]
 
 
+def test_self_similar_lines_and_words_stay_apart():
+    """A polynomial hash modulo 2**64 takes these for one another."""
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    texts = [f"{one}\n{other}", f"{one} {one} {one} {other} {other} {other}", f"{one}\n{one}"]
+    assert counts(texts) == [brute(t) for t in texts]
+
+
+def test_chunk_ratios_match_brute_force():
+    rng = random.Random(6)
+    for size in (100, 511, 512, 2048, 2049, 2559, 2560, 2561, 9000):
+        raw = "".join(rng.choice("abcdef ghij") for _ in range(size)).encode()
+        whole, low, high = C._ratios(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        parts = [raw[i : i + 2048] for i in range(0, len(raw), 2048)]
+        if len(parts) > 1 and len(parts[-1]) < 512:
+            parts[-2:] = [parts[-2] + parts[-1]]
+        found = [len(zstandard.ZstdCompressor(level=3).compress(p)) / len(p) for p in parts if size >= 512]
+        assert whole[0] == len(zstandard.ZstdCompressor(level=3).compress(raw)) / len(raw)
+        assert (low[0], high[0]) == (min(found), max(found)) if found else np.isnan(low[0])
+
+
 def test_verdicts(spark):
     rng = random.Random(2)
     vocab = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 10))) for _ in range(900)]
