@@ -34,4 +34,6 @@ def connected_components(links: DataFrame) -> DataFrame:
         small = stage(moved.unionAll(low_of.select(F.col("m").alias("a"), "b")).distinct(), "links")
         drop_staged(current, low, large, low_of)
         current = small
-    return current.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    found = current.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    found._staged_path = current._staged_path  # so that a scope can keep it
+    return found

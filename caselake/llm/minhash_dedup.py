@@ -1,20 +1,23 @@
 """Operator 7, MinHash near-dedup with sequential Bayesian verification.
 
 A document's set holds its distinct shingles of five lower-cased words (the whole sequence when
-there are fewer).  Documents with equal word sequences form a class first; the smallest id stands
-for it.  Signatures of HASHES minima are banded; documents that share a band are candidates.
+there are fewer).  Documents with equal word sequences (by a 128-bit digest) form a class first; the
+smallest id stands for it.  Signatures of HASHES minima are banded; documents that share a band are candidates.
 Candidate signatures are compared batch by batch: a pair is dropped once the posterior probability
 that its likeness reaches the threshold falls under MISS.  Survivors are verified on their full
-shingle sets, and verified links give components.
+shingle sets, word by word, and verified links give components.
 
 Candidates come in two rounds.  First every member of a bucket is compared with the bucket's
 smallest and largest member, and each document's best survivor is verified; most groups, however
 large, fall together here with a linear number of pairs.  Then buckets whose members still lie in
-different components are compared block by block (BLOCK x BLOCK members a task at most).  Members with
-survivors in other components come with their texts; each block verifies its pairs itself, likeliest
+different components are dealt by component: members of the bucket's largest component need comparing
+with the others only, never with each other.  They are cut into blocks, each of which meets each block of the
+others, and those meet one another (BLOCK members a side).  So a component of n members and m others give
+n * ceil(m / BLOCK) + m * (ceil(n / BLOCK) + ceil(m / BLOCK)) rows: in proportion to n while m is up to
+BLOCK.  Members with survivors in other components come with their texts; each block verifies its pairs itself, likeliest
 first, and returns only links that join components, fewer than it has members.  So no pair that shares a
-band and may join two components is left out, and no step returns more rows than members.  A pair at
-the threshold shares no band with probability (1 - 0.75**4)**32, about 5 in a million.
+band and may join two components is left out.  A pair at the threshold shares no band with probability
+(1 - 0.75**4)**32, about 5 in a million.
 
 Defined results: a null or wordless text has an empty set and links with nothing; a null id links
 with nothing, has a null component and is kept; rows of one doc_id are one node, linked
@@ -23,7 +26,9 @@ through any of them, and come out row by row; extra columns are ignored; an empt
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from math import comb
 
 import numpy as np
@@ -32,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesops as B
-from .common import buffer_of, by_size, drop_staged, stage, text_column
+from .common import buffer_of, by_size, drop_staged, scope, stage, text_column
 from .components import connected_components
 
 WIDTH = 5
@@ -41,7 +46,7 @@ ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
 BATCH = 16
 MISS = 1e-6
-BLOCK = 256
+BLOCK = 128
 SLICE = 1 << 19
 
 _rng = np.random.default_rng(20240607)
@@ -52,11 +57,37 @@ _PLACES = [np.uint64(int(x) * 2 + 1) for x in _rng.integers(0, 2**62, WIDTH)]
 SIGNED_SCHEMA = "doc_id long, n_shingles long, k1 long, k2 long, sig binary"
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, B.Words, np.ndarray]:
-    """(hash, text) of every shingle, the words and their hashes, of texts laid end to end."""
+@dataclass
+class Shingles:
+    """The shingles of texts laid end to end, by text."""
+
+    hashes: np.ndarray
+    text: np.ndarray
+    first: np.ndarray  # number of the shingle's first word
+    size: np.ndarray  # words in it
+    words: B.Words
+    spans: B.SpanHash
+
+    def exact(self, owner: np.ndarray) -> np.ndarray:
+        """Keys that are equal where the shingles hold the same words and their ``owner`` is the same, and only there."""
+        starts, ends = self.words.starts, self.words.ends
+        word = B.exact(self.spans(starts, ends), lambda i, j: self.spans.same(starts, ends, i, j))
+
+        def same(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            out = (owner[i] == owner[j]) & (self.size[i] == self.size[j])
+            for k in range(WIDTH):
+                at = np.minimum(k, self.size[i] - 1), np.minimum(k, self.size[j] - 1)
+                out &= word[self.first[i] + at[0]] == word[self.first[j] + at[1]]
+            return out
+
+        return B.exact(B.mix(self.hashes ^ B.mix(owner.astype(np.uint64) + np.uint64(1))), same)
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray) -> Shingles:
     data = B.LOWER[data]
     words = B.Words(data, offsets)
-    h = B.SpanHash(data)(words.starts, words.ends)
+    spans = B.SpanHash(data)
+    h = spans(words.starts, words.ends)
     inside = np.flatnonzero(words.text[WIDTH - 1 :] == words.text[: len(words.text) - WIDTH + 1]) if len(h) >= WIDTH else np.zeros(0, np.int64)
     full = np.zeros(len(inside), np.uint64)
     for k in range(WIDTH):
@@ -68,7 +99,9 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         short[has] += h[words.bounds[few[has]] + k] * _PLACES[k]
     text = np.concatenate([words.text[inside], few])
     order = np.argsort(text, kind="stable")
-    return B.mix(np.concatenate([full, short]))[order], text[order], words, h
+    first = np.concatenate([inside, words.bounds[few]])[order]
+    size = np.concatenate([np.full(len(inside), WIDTH), words.counts[few]])[order]
+    return Shingles(B.mix(np.concatenate([full, short]))[order], text[order], first, size, words, spans)
 
 
 def signatures(hashes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -82,23 +115,30 @@ def signatures(hashes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _sequence_key(words: B.Words, h: np.ndarray) -> np.ndarray:
-    """64 bits of each text's word sequence."""
-    spans = B.SpanHash(h)
-    return spans(words.bounds[:-1], words.bounds[1:])
+def sequence_keys(data: np.ndarray, offsets: np.ndarray, words: B.Words) -> np.ndarray:
+    """128 bits (two numbers) of each text's lower-cased word sequence, from its digest."""
+    kept = words.solid.copy()
+    kept[words.starts[np.flatnonzero(words.text[1:] == words.text[:-1]) + 1] - 1] = True  # one space between words
+    plain = np.where(words.solid, B.LOWER[data], 0x20).astype(np.uint8)[kept].tobytes()
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(kept, out=before[1:])
+    at = before[offsets]
+    view = memoryview(plain)
+    return np.frombuffer(b"".join(hashlib.blake2b(view[s:e], digest_size=16).digest() for s, e in zip(at[:-1], at[1:], strict=True)), "<i8").reshape(-1, 2)
 
 
 def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_size(batches, SLICE):
         n = batch.num_rows
-        hashes, text, words, h = shingles(*buffer_of(text_column(batch)))
-        _, later = B.repeated(B.mix(hashes ^ B.mix(text.astype(np.uint64) + np.uint64(1))))
-        size = np.bincount(text[~later], minlength=n).astype(np.int64)
-        sig = signatures(hashes, text, n).astype(">u4")
+        data, offsets = buffer_of(text_column(batch))
+        found = shingles(data, offsets)
+        _, later = B.repeated(found.exact(found.text))
+        size = np.bincount(found.text[~later], minlength=n).astype(np.int64)
+        sig = signatures(found.hashes, found.text, n).astype(">u4")
         packed = [sig[i].tobytes() if size[i] else None for i in range(n)]
-        keys = [_sequence_key(words, B.mix(h + np.uint64(s))).view(np.int64) for s in (1, 2)]
+        keys = sequence_keys(data, offsets, found.words)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(size), *map(pa.array, keys), pa.array(packed, pa.binary())],
+            [batch.column(0).cast(pa.int64()), pa.array(size), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.array(packed, pa.binary())],
             names=["doc_id", "n_shingles", "k1", "k2", "sig"],
         )
 
@@ -141,24 +181,25 @@ def _prune_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(alive)), batch.column(1).take(pa.array(alive)), pa.array(matches)], names=["a", "b", "matches"])
 
 
-def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in by_size(batches, SLICE, "right"):
-        sets = []
-        for name in ("left", "right"):
-            hashes, text, _, _ = shingles(*buffer_of(text_column(batch, name)))
-            sets.append(_distinct(hashes, text, batch.num_rows))
-        (left, n_left), (right, n_right) = sets
-        both, _ = B.repeated(np.concatenate([left[0], right[0]]))
-        shared = np.bincount(left[1][both[: len(left[0])]], minlength=batch.num_rows)
-        union = n_left + n_right - shared
-        linked = pa.array(np.flatnonzero((union > 0) & (100 * shared >= THRESHOLD * union)))
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(linked), batch.column(1).take(linked)], names=["a", "b"])
+def linked(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Which pairs of texts reach the threshold, on their full sets."""
+    n = len(left)
+    order = pa.array(np.arange(2 * n).reshape(2, n).T.ravel())
+    found = shingles(*buffer_of(pa.concat_arrays([left, right]).take(order)))  # texts 2i and 2i + 1 are a pair
+    keys = found.exact(found.text // 2)
+    order = np.lexsort((found.text, keys))
+    keys, text = keys[order], found.text[order]
+    new = np.append(True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]))[: len(keys)]
+    keys, text = keys[new], text[new]
+    size = np.bincount(text, minlength=2 * n).reshape(n, 2).sum(axis=1)
+    shared = np.bincount(text[1:][keys[1:] == keys[:-1]] // 2, minlength=n)
+    return (size > shared) & (100 * shared >= THRESHOLD * (size - shared))
 
 
-def _distinct(hashes: np.ndarray, text: np.ndarray, n: int):
-    keys = B.mix(hashes ^ B.mix(text.astype(np.uint64) + np.uint64(1)))
-    _, later = B.repeated(keys)
-    return (keys[~later], text[~later]), np.bincount(text[~later], minlength=n)
+def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in by_size(batches, SLICE, "right"):
+        kept = pa.array(np.flatnonzero(linked(text_column(batch, "left"), text_column(batch, "right"))))
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], names=["a", "b"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -246,6 +287,18 @@ def _open_members(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatc
         yield from rows.to_batches()
 
 
+def _distinct_sets(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """(sorted distinct shingle hashes of each text, signatures), by slices."""
+    sets: list[np.ndarray] = []
+    sigs = [np.zeros((0, HASHES), np.uint32)]
+    for batch in by_size(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), SLICE):
+        found = shingles(*buffer_of(text_column(batch)))
+        cuts = np.searchsorted(found.text, np.arange(batch.num_rows + 1))
+        sets += [np.unique(found.hashes[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        sigs.append(signatures(found.hashes, found.text, batch.num_rows))
+    return sets, np.concatenate(sigs)
+
+
 def _exact_links(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Links between components in each block, verified on the members' full sets; (a, b) are components."""
     comp = table["comp"].to_numpy()
@@ -253,18 +306,17 @@ def _exact_links(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch
     for s, e in zip(bounds[:-1], bounds[1:], strict=True):
         part = table.slice(int(s), int(e - s)).combine_chunks()
         n = part.num_rows
-        hashes, text, _, _ = shingles(*buffer_of(text_column(pa.RecordBatch.from_arrays([pa.concat_arrays(part["text"].chunks)], names=["text"]))))
-        cuts = np.searchsorted(text, np.arange(n + 1))
-        sets = [set(hashes[i:j].tolist()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-        for x, y, matches in _survivors(part, np.array([0, n]), signatures(hashes, text, n)):
+        texts = pa.concat_arrays(part["text"].chunks)
+        sets, sig = _distinct_sets(texts)
+        for x, y, matches in _survivors(part, np.array([0, n]), sig):
             forest = _Forest()
             order = np.argsort(-matches, kind="stable")
             for u, v in zip(x[order].tolist(), y[order].tolist(), strict=True):
                 c, d = comp[s + u], comp[s + v]
                 if forest.root(c) == forest.root(d):
                     continue
-                shared = len(sets[u] & sets[v])
-                if 100 * shared >= THRESHOLD * (len(sets[u]) + len(sets[v]) - shared):
+                shared = len(sets[u]) + len(sets[v]) - len(np.union1d(sets[u], sets[v]))
+                if 100 * shared >= THRESHOLD * (len(sets[u]) + len(sets[v]) - shared) and linked(texts.slice(u, 1), texts.slice(v, 1))[0]:
                     forest.join(c, d)
                     out.append((min(c, d), max(c, d)))
     if out:
@@ -274,26 +326,33 @@ def _exact_links(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch
 _PLACE = ("key", "lo", "hi", "block", "band", "rep", "comp")
 
 
-def _mixed_blocks(members: DataFrame, comps: DataFrame, signed: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, dealt to pairs of blocks and sorted by them."""
+def _mixed_blocks(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, dealt to pairs of blocks by component."""
     placed = members.join(comps, members["rep"] == comps["node"], "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     placed = stage(placed, "placed")
-    mixed = stage(placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n"), "mixed")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = (
-        placed.join(mixed, "key")
-        .join(signed, "rep")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "band", "rep", "comp", "sig")
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    held = stage(placed.join(stage(mixed, "mixed"), "key"), "held")
+    drop_staged(placed)
+    sizes = held.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    split = stage(sizes.select("key", "major", blocks(F.col("most")).alias("wide"), blocks(F.col("n") - F.col("most")).alias("narrow")), "split")
+    lot, others = F.xxhash64("rep"), F.sequence(F.lit(0), F.col("narrow") - 1)
+    is_major = F.col("comp") == F.col("major")
+    block = F.when(is_major, -1 - F.pmod(lot, "wide")).otherwise(F.pmod(lot, "narrow")).cast("int")
+    majors = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda i: -1 - i)
+    return (
+        held.join(split, "key")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.when(is_major, others).otherwise(F.concat(others, majors))))
+        .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "band", "rep", "comp")
     )
-    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
 
 def _last_links(members: DataFrame, comps: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
     """Verified links among what is still open, block by block."""
     kinds = "key long, lo int, hi int, block int, band int, rep long, comp long"
-    left = stage(_mixed_blocks(members, comps, signed).mapInArrow(_by_block(_open_members), kinds), "open")
+    dealt = _mixed_blocks(members, comps).join(signed, "rep").select(*_PLACE, "sig").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    left = stage(dealt.mapInArrow(_by_block(_open_members), kinds), "open")
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
     rows = left.hint("merge").join(texts, "rep").select(*_PLACE, "text").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return rows.mapInArrow(_by_block(_exact_links), "a long, b long").distinct()
@@ -301,6 +360,17 @@ def _last_links(members: DataFrame, comps: DataFrame, signed: DataFrame, docs: D
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text)."""
+    with scope() as tables:
+        rows, comps, more = _components(docs)
+        tables.keep(rows, comps, more)
+    more = more.select(F.col("node").alias("rep1"), F.col("component").alias("last"))
+    placed = rows.join(comps, rows["rep"] == comps["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("rep1"))
+    out = placed.join(more, "rep1", "left").select("doc_id", "n_shingles", F.coalesce("last", "rep1").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows with their class's representative, components of the first round, components of those)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     first = stage(docs.mapInArrow(_sign_batches, SIGNED_SCHEMA), "signed")
     filled = first.where("n_shingles > 0 and doc_id is not null")
@@ -321,14 +391,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     likely = sides.select("a", "b", "left", "right").mapInArrow(_prune_batches, "a long, b long, matches long")
     best = likely.groupBy("b").agg(F.max(F.struct("matches", (-F.col("a")).alias("minus"))).alias("top")).select((-F.col("top.minus")).alias("a"), "b")
     links = stage(_verified(stage(best, "pairs"), docs), "verified")
-    comps = stage(connected_components(links), "components")
-    more = connected_components(_last_links(members, comps, signed, docs)).select(F.col("node").alias("rep1"), F.col("component").alias("last"))
-    placed = rows.join(comps, rows["rep"] == comps["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("rep1"))
-    out = placed.join(more, "rep1", "left").select("doc_id", "n_shingles", F.coalesce("last", "rep1").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    comps = connected_components(links)
+    return rows, comps, connected_components(_last_links(members, comps, signed, docs))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that a smaller id stands for, with all their columns."""
-    gone = stage(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the documents that an earlier one stands for, with all their columns.
+
+    Of rows with one doc_id and one text one stays; rows with one doc_id and different texts are judged each by its own text, in the order of the texts."""
+    with scope() as tables:
+        again = stage(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id"), "again")
+        if again.isEmpty():
+            gone = stage(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+            tables.keep(gone)
+            return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+        names = docs.columns
+        one = docs.join(again, "doc_id", "left_semi").select(*names).dropDuplicates(["doc_id", "text"])
+        docs = stage(docs.join(again, "doc_id", "left_anti").select(*names).unionByName(one), "single")
+        ordered = docs.where("doc_id is not null").select("doc_id", "text").orderBy("doc_id", "text")
+        nodes = stage(ordered.select("doc_id", F.sha2("text", 256).alias("digest"), "text", F.monotonically_increasing_id().alias("node")), "nodes")
+        verdict = near_duplicates(nodes.select(F.col("node").alias("doc_id"), "text")).where(~F.col("kept")).select(F.col("doc_id").alias("node"))
+        gone = stage(nodes.select("doc_id", "digest", "node").join(verdict, "node").select("doc_id", "digest"), "gone")
+        tables.keep(docs, gone)
+        return docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (F.sha2(docs["text"], 256) == gone["digest"]), "left_anti").select(*names)

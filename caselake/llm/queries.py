@@ -23,15 +23,22 @@ def _labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 
 def mixing_classifier(spark: SparkSession, sf_dir: str) -> mixing.Classifier:
     """Domains are the languages of the documents that ``labels`` lists."""
-    listed = _labels(spark, sf_dir, "quality").select("doc_id").distinct()
     docs = read_documents(spark, sf_dir, "doc_id", "text", F.col("lang").alias("domain"))
-    return mixing.learn(docs.join(listed, "doc_id", "left_semi"))
+    return mixing.learn(docs, _labels(spark, sf_dir, "quality"))
 
 
-def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates that lift the smaller domains to tempered shares, and how often each document is then taken."""
-    rated, _ = mixing.rates(read_documents(spark, sf_dir), mixing_classifier(spark, sf_dir))
-    return mixing.with_copies(rated).select("doc_id", "n_tokens", "domain", F.array_max("posterior").alias("posterior"), "rate", "copies")
+#: Target shares of expected tokens; a domain that isn't named keeps its tokens.
+TARGET_WEIGHTS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
+
+
+def op1_soft_mixing(spark: SparkSession, sf_dir: str, weights: dict[str, float] | None = TARGET_WEIGHTS) -> DataFrame:
+    """Rates under which the domains' expected tokens have the target shares, and how often each document is then taken;
+    with the target and the reached tokens of the document's likeliest domain."""
+    rated, fit = mixing.rates(read_documents(spark, sf_dir), mixing_classifier(spark, sf_dir), weights)
+    total = lambda values: F.element_at(F.create_map(*(F.lit(x) for d, v in zip(fit.domains, values, strict=True) for x in (d, round(float(v), 3)))), F.col("domain"))
+    return mixing.with_copies(rated).select(
+        "doc_id", "n_tokens", "domain", F.array_max("posterior").alias("posterior"), "rate", "copies", total(fit.targets).alias("target_tokens"), total(fit.reached).alias("reached_tokens")
+    )
 
 
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,4 +105,16 @@ QUERIES = {
     "op10_rule_quality": op10_rule_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Shingle sets as lists, likeness from a join on shingles, components by reachability.
+ORACLE_SQL: dict[str, str] = {
+    "op7_minhash_dedup": r"""with recursive
+    words as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+    sets as (select doc_id, case when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from words),
+    grams as (select doc_id, unnest(s) as g from sets),
+    shared as (select x.doc_id as a, y.doc_id as b, count(*) as n from grams x join grams y on x.g = y.g and x.doc_id < y.doc_id group by all),
+    links as (select a, b from shared join sets p on p.doc_id = a join sets q on q.doc_id = b where 100 * n >= 75 * (len(p.s) + len(q.s) - n)),
+    ways as (select a, b from links union all select b, a from links),
+    reach as (select a, b from ways union select r.a, w.b from reach r join ways w on w.a = r.b),
+    least_of as (select a as doc_id, min(b) as least from reach group by a)
+    select doc_id, len(s) as n_shingles, least(doc_id, coalesce(least, doc_id)) as component_id, doc_id <= coalesce(least, doc_id) as kept from sets left join least_of using (doc_id)""",
+}

@@ -1,6 +1,10 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
+from caselake.llm import bytesops as B
 from caselake.llm import minhash_dedup as M
 
 
@@ -95,3 +99,73 @@ def test_blocks_split_large_buckets(spark, monkeypatch):
             words[rng.randrange(150)] = f"e{i}_{rng.random()}"
         rows.append((rng.randrange(10**6), " ".join(words)))
     check(spark, list(dict(rows).items()))
+
+
+def thue_morse(letters, n):
+    a, b = letters
+    word = a
+    while len(word) < n:
+        word += word.translate(str.maketrans(a + b, b + a))
+    return word, word.translate(str.maketrans(a + b, b + a))
+
+
+def test_self_similar_words_stay_apart(spark):
+    """A polynomial hash modulo 2**64 takes these words for one another."""
+    one, other = thue_morse("ab", 2048)
+    check(spark, [(1, one), (2, other), (3, f"{one} x y z w {other}"), (4, f"{other} x y z w {one}"), (5, one.upper())])
+
+
+def test_colliding_hashes_are_told_apart(spark, monkeypatch):
+    """With a hash of 6 bits nearly every shingle collides; sets and links stay exact."""
+    weak = lambda self, starts, ends: B.SpanHash.__wrapped__(self, starts, ends) & np.uint64(63)
+    monkeypatch.setattr(B.SpanHash, "__wrapped__", B.SpanHash.__call__, raising=False)
+    monkeypatch.setattr(B.SpanHash, "__call__", weak)
+    rows = corpus(3, 60)
+    texts = [t for _, t in rows]
+    left, right = pa.array(texts[:-1]), pa.array(texts[1:])
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} for w in (t.lower().split() for t in texts)]
+    want = [100 * len(a & b) >= 75 * len(a | b) for a, b in zip(sets[:-1], sets[1:], strict=True)]
+    assert M.linked(left, right).tolist() == want
+    batch = next(M._sign_batches(iter([pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])])))
+    assert batch.column(1).to_pylist() == [len(s) for s in sets]
+
+
+def test_block_rows_grow_in_proportion(spark, monkeypatch):
+    """Near copies of one text and some half copies share buckets; twice the copies, about twice the rows."""
+    made = []
+
+    def counted(members, comps, plain=M._mixed_blocks):
+        rows = plain(members, comps)
+        made.append((members.count(), rows.count()))
+        return rows
+
+    monkeypatch.setattr(M, "_mixed_blocks", counted)
+    for n in (300, 600, 1200):
+        rng = random.Random(7)
+        base = [f"b{i}" for i in range(200)]
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for k in range(2):
+                words[rng.randrange(200)] = f"n{i}_{k}"
+            rows.append((i, " ".join(words)))
+        rows += [(10**6 + i, " ".join(base[:110] + [f"h{i}_{k}" for k in range(90)])) for i in range(20)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = {r.doc_id: r.component_id for r in M.near_duplicates(df).collect()}
+        assert {got[i] for i in range(n)} == {0} and all(got[10**6 + i] == 10**6 + i for i in range(20))
+    print("members, block rows:", made)
+    (_, small), (_, middle), (most, large) = made
+    assert middle <= 2.2 * small and large <= 2.2 * middle and large <= 2 * most
+
+
+def test_keep_first_decides_by_row(spark):
+    """Equal rows of one id leave one row; rows of one id with different texts are judged each by its own."""
+    rng = random.Random(4)
+    text = [" ".join(f"{c}{rng.randrange(300)}" for _ in range(80)) for c in "abc"]
+    near = text[0].replace(" ", " x ", 1)
+    rows = [(1, text[0]), (1, text[0]), (2, text[1]), (2, near), (3, text[1]), (4, None), (4, None), (None, text[2]), (5, text[2])]
+    df = spark.createDataFrame([(*r, 7, "n") for r in rows], "doc_id long, text string, node int, digest string").repartition(3)
+    out = M.keep_first(df)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert got == sorted([(1, text[0]), (2, text[1]), (4, None), (None, text[2]), (5, text[2])], key=repr)
