@@ -4,9 +4,9 @@ A classifier learned from a labelled table gives every document a posterior over
 then holds sum(rate * tokens * posterior_k) expected tokens.  Nonnegative document rates are fitted
 by projected-gradient least squares, so that these totals meet the targets.  The gradient of a
 document's rate is its posterior times a vector of residuals, one number a domain; that vector is all
-that a step moves.  A step's rates follow from the residual vectors so far, so no table of rates
-is rewritten: each pass replays them over the written table of posteriors and returns one row of
-partial totals a partition.
+that a step moves.  A step's rates follow from the residual vectors so far: each pass replays those since the
+rates were last written (every KEEP steps) and returns one row of partial totals a partition.  The steps end when the totals
+meet the targets, or when a step no longer moves them (targets that no rates can meet); ``Fit`` holds both.
 
 The classifier is naive Bayes over hashed words with a tempered posterior; its counts come from a
 bounded sample (SAMPLE rows in expectation, dealt evenly over domains by a hash of doc_id) and fill BUCKETS x domains numbers.
@@ -29,17 +29,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import bytesops as B
-from .common import buffer_of, by_size, stage, text_column
+from .common import buffer_of, by_size, drop_staged, meet, scope, stage, text_column
 
 SAMPLE = 6_000
 BUCKETS = 1 << 14
-MAX_DOMAINS = 1_000
 #: Sampled rows of each domain in expectation, however many domains share the sample.
 LEAST_PER_DOMAIN = 20
-STEPS = 60
 TOLERANCE = 1e-4
+#: A step that moves less than this share of the tokens is the last one.
+STILL = 1e-7
+#: Steps between writings of the rates.
+KEEP = 16
 #: Target shares are natural shares to this power: below 1 it lifts the small domains.
 TEMPER = 0.7
+#: What the largest domain grows by under the default targets.
+LIFT = 0.02
 SLICE = 1 << 20
 POSTERIOR_SCHEMA = "doc_id long, n_tokens long, posterior array<double>"
 
@@ -60,6 +64,11 @@ class Fit:
     step: float
     residuals: np.ndarray  # a row for each gradient step
 
+    @property
+    def met(self) -> bool:
+        """Do the reached totals meet the targets?"""
+        return bool(np.abs(self.reached - self.targets).sum() <= TOLERANCE * max(self.targets.sum(), 1e-12))
+
 
 def _bucketed(data: np.ndarray, offsets: np.ndarray) -> tuple[B.Words, np.ndarray]:
     words = B.Words(data, offsets)
@@ -74,20 +83,22 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(names[found // BUCKETS], pa.string()), pa.array(found % BUCKETS), pa.array(n)], names=["domain", "bucket", "n"])
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Learn from ``labelled`` (doc_id, text, domain), sampled evenly over domains; rows with a null in any of them are left out."""
+def learn(labelled: DataFrame, listed: DataFrame | None = None, sample: int = SAMPLE) -> Classifier:
+    """Learn from ``labelled`` (doc_id, text, domain), or those rows of it that ``listed`` (doc_id) names, sampled evenly over
+    domains; rows with a null in any column are left out.  The model holds BUCKETS numbers a domain."""
     rows = labelled.select("doc_id", "text", F.col("domain").cast("string").alias("domain")).dropna()
-    sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).limit(MAX_DOMAINS + 1).collect()}
-    if len(sizes) > MAX_DOMAINS:
-        raise ValueError(f"more than {MAX_DOMAINS} domains")
+    ids = rows.select("doc_id", "domain")
+    ids = ids if listed is None else ids.join(listed.select("doc_id"), "doc_id", "left_semi")
+    sizes = {r.domain: r.n for r in ids.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = sorted(sizes) or [""]
     logs, prior = np.zeros((BUCKETS, len(domains))), np.full(len(domains), 1 / len(domains))
     if sizes:
         lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
         each = max(sample / len(sizes), LEAST_PER_DOMAIN)
         shares = F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, min(1.0, each / n))])
-        picked = rows.where(lot < F.element_at(shares, F.col("domain")))
-        counts = picked.mapInArrow(_count_batches, "domain string, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        picked = ids.where(lot < F.element_at(shares, F.col("domain"))).select("doc_id").distinct()
+        chosen = meet(rows.where(lot < max(min(1.0, each / n) for n in sizes.values())), picked, int(4 * each * len(sizes)))
+        counts = chosen.mapInArrow(_count_batches, "domain string, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toArrow()
         seen = np.full((BUCKETS, len(domains)), 0.1)
         at = {d: i for i, d in enumerate(domains)}
         if counts.num_rows:
@@ -125,9 +136,27 @@ def _matrix(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
     return batch.column(batch.schema.get_field_index("n_tokens")).to_numpy().astype(float), column.flatten().to_numpy().reshape(-1, k)
 
 
-def replay(posterior: np.ndarray, residuals: np.ndarray, step: float) -> np.ndarray:
-    """Rates after the projected-gradient steps of these residual vectors, from 1."""
-    rate = np.ones(len(posterior))
+def _rate(batch: pa.RecordBatch) -> np.ndarray | None:
+    at = batch.schema.get_field_index("rate")
+    return None if at < 0 else batch.column(at).to_numpy()
+
+
+def _with_rates(table: DataFrame, k: int, residuals: np.ndarray, step: float) -> DataFrame:
+    """The table with the rates after these steps, written."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                tokens, p = _matrix(batch, k)
+                held = batch.column(batch.schema.get_field_index("posterior"))
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), held, pa.array(replay(p, residuals, step, _rate(batch)))], names=["n_tokens", "posterior", "rate"])
+
+    return stage(table.drop("doc_id").mapInArrow(rows, "n_tokens long, posterior array<double>, rate double"), "rates")
+
+
+def replay(posterior: np.ndarray, residuals: np.ndarray, step: float, rate: np.ndarray | None = None) -> np.ndarray:
+    """Rates after the projected-gradient steps of these residual vectors, from 1 or from ``rate``."""
+    rate = np.ones(len(posterior)) if rate is None else rate
     for residual in residuals:
         rate = np.maximum(rate - step * (posterior @ residual), 0)
     return rate
@@ -140,10 +169,10 @@ def _totals(table: DataFrame, k: int, residuals: np.ndarray, step: float, square
         total = np.zeros(k * k if squares else k)
         for batch in batches:
             tokens, p = _matrix(batch, k)
-            total += ((p * tokens[:, None]).T @ p).ravel() if squares else (tokens * replay(p, residuals, step)) @ p
+            total += ((p * tokens[:, None]).T @ p).ravel() if squares else (tokens * replay(p, residuals, step, _rate(batch))) @ p
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["at", "total"])
 
-    found = table.select("n_tokens", "posterior").mapInArrow(rows, "at long, total double").groupBy("at").agg(F.sum("total").alias("total")).collect()
+    found = table.drop("doc_id").mapInArrow(rows, "at long, total double").groupBy("at").agg(F.sum("total").alias("total")).collect()
     out = np.zeros(k * k if squares else k)
     for r in found:
         out[r["at"]] = r["total"]
@@ -151,40 +180,44 @@ def _totals(table: DataFrame, k: int, residuals: np.ndarray, step: float, square
 
 
 def tempered(natural: np.ndarray, power: float = TEMPER) -> np.ndarray:
-    """Token targets with shares of ``natural ** power``, so large that no domain has to shrink."""
+    """Token targets with shares of ``natural ** power``, so large that every domain grows by LIFT at least:
+    no rate falls under 1, so each document is taken once or more."""
     share = np.where(natural > 0, np.maximum(natural, 1e-300) ** power, 0.0)
     if not share.sum():
         return natural
     share = share / share.sum()
-    return share * np.max(natural[share > 0] / share[share > 0])
+    return share * np.max(natural[share > 0] / share[share > 0]) * (1 + LIFT)
 
 
 def fit_rates(table: DataFrame, domains: list[str], weights: dict[str, float] | None = None, total: float | None = None) -> Fit:
-    """Fit rates on a staged table of posteriors.  ``weights`` are target shares by domain (of ``total``
-    expected tokens, the natural total if not given); without them the targets are tempered."""
+    """Fit rates on a staged table of posteriors.  ``weights`` are target shares by domain, of ``total``
+    expected tokens (the natural total if not given) less those of domains that ``weights`` doesn't name, which keep
+    their tokens; without ``weights`` the targets are tempered."""
     k = len(domains)
     nothing = np.zeros((0, k))
     natural = _totals(table, k, nothing, 0.0)
     if weights is None:
         targets = tempered(natural)
     else:
-        share = np.array([weights.get(d, 0.0) for d in domains])
-        targets = share / share.sum() * (natural.sum() if total is None else total)
+        share, named = np.array([weights.get(d, 0.0) for d in domains], float), np.array([d in weights for d in domains])
+        rest = max((natural.sum() if total is None else total) - natural[~named].sum(), 0.0)
+        targets = np.where(named, share / max(share.sum(), 1e-300) * rest, natural)
     gram = _totals(table, k, nothing, 0.0, squares=True).reshape(k, k)
     scale = 1 / np.maximum(np.diag(gram), 1e-12)  # weight of each domain's square: its own curvature
     root = np.sqrt(scale)
     step = 1 / max(np.linalg.eigvalsh(root[:, None] * gram * root[None, :])[-1], 1e-12)
-    steps, reached = [], natural
-    while len(steps) < STEPS:
-        gap = reached - targets
-        if np.abs(gap).sum() <= TOLERANCE * max(targets.sum(), 1e-12):
+    steps, reached, since = [], natural, 0
+    while np.abs(reached - targets).sum() > TOLERANCE * max(targets.sum(), 1e-12):
+        steps.append(scale * (reached - targets))
+        if len(steps) - since > KEEP:
+            before, table = table, _with_rates(table, k, np.array(steps[since:-1]), step)
+            if since:
+                drop_staged(before)
+            since = len(steps) - 1
+        now = _totals(table, k, np.array(steps[since:]), step)
+        moved, reached = np.abs(now - reached).sum(), now
+        if moved <= STILL * max(targets.sum(), 1e-12):
             break
-        steps.append(scale * gap)
-        now = _totals(table, k, np.array(steps), step)
-        if np.abs(now - reached).sum() <= 1e-9 * max(targets.sum(), 1e-12):
-            reached = now
-            break
-        reached = now
     return Fit(domains, targets, natural, reached, step, np.array(steps).reshape(-1, k))
 
 
@@ -207,20 +240,21 @@ def rates(docs: DataFrame, model: Classifier, weights: dict[str, float] | None =
     return table.mapInArrow(_rate_batches(fit), POSTERIOR_SCHEMA + ", domain string, rate double"), fit
 
 
-def with_copies(rated: DataFrame, least: int = 0) -> DataFrame:
+def with_copies(rated: DataFrame) -> DataFrame:
     """``rated`` with a column ``copies``: the rate's whole part, and one more with the chance of the rest, by a hash of doc_id."""
     lot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mixing")), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor("rate") + (lot < F.col("rate") - F.floor("rate")).cast("long")
-    return rated.withColumn("copies", F.greatest(copies, F.lit(least)).cast("long"))
+    return rated.withColumn("copies", copies.cast("long"))
 
 
-def mix(docs: DataFrame, model: Classifier, weights: dict[str, float] | None = None, total: float | None = None, least: int = 0) -> DataFrame:
-    """``docs`` with each row as often as its rate says, ``least`` times at least; the same columns.
+def mix(docs: DataFrame, model: Classifier, weights: dict[str, float] | None = None, total: float | None = None) -> DataFrame:
+    """``docs`` with each row as often as its rate says; the same columns.
 
     The rates are computed where the texts are read, from the fitted residual vectors: texts never move."""
-    table = stage(posteriors(docs, model), "posteriors")
-    fit = fit_rates(table, model.domains, weights, total)
+    with scope():
+        fit = fit_rates(stage(posteriors(docs, model), "posteriors"), model.domains, weights, total)
     names = docs.columns
+    kept = [f"c{i}" for i in range(len(names))]  # the rows' own names may be any
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _posterior_batches(model)
@@ -230,14 +264,15 @@ def mix(docs: DataFrame, model: Classifier, weights: dict[str, float] | None = N
             scored = _scored(score, batch.column(ids), batch.column(texts))
             _, p = _matrix(scored, len(fit.domains))
             rate = np.round(replay(p, fit.residuals, fit.step), 9)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=[*names, "__rate"])
-
-    schema = StructType([*docs.schema.fields, StructField("__rate", DoubleType())])
-    lot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mixing")), F.lit(1 << 30)) / float(1 << 30)
-    whole = F.floor("__rate")
-    copies = F.greatest(whole + (lot < F.col("__rate") - whole).cast("long"), F.lit(least)).cast("int")
-    repeated = docs.mapInArrow(rows, schema).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies)))
-    return repeated.select(*names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=[*kept, "rate"])
+
+    fields = [StructField(c, f.dataType, f.nullable) for c, f in zip(kept, docs.schema.fields, strict=True)]
+    key = F.col(kept[names.index("doc_id")])
+    lot = F.pmod(F.xxhash64(key, F.lit("mixing")), F.lit(1 << 30)) / float(1 << 30)
+    whole = F.floor("rate")
+    copies = (whole + (lot < F.col("rate") - whole).cast("long")).cast("int")
+    repeated = docs.mapInArrow(rows, StructType([*fields, StructField("rate", DoubleType())])).withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies)))
+    return repeated.select(*(F.col(c).alias(name) for c, name in zip(kept, names, strict=True)))
 
 
 def _scored(score: Callable, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:

@@ -1,3 +1,6 @@
+import math
+import random
+
 import numpy as np
 import pytest
 
@@ -41,12 +44,65 @@ def test_fit_equals_brute_force_projected_gradient(spark):
     assert [r.rate for r in rows] == pytest.approx(rate, abs=1e-6)
 
 
+def test_classifier_equals_brute_force(spark):
+    """Naive Bayes over hashed words with a tempered posterior, in plain Python."""
+    docs = corpus(spark)
+    model = M.learn(docs)
+    rows = [r for r in docs.collect() if None not in (r.doc_id, r.text, r.domain)]
+    domains = sorted({r.domain for r in rows})
+    seen = {d: {} for d in domains}
+    bucket = lambda w: int(M._bucketed(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]))[1][0])
+    for r in rows:
+        for w in r.text.split():
+            seen[r.domain][bucket(w)] = seen[r.domain].get(bucket(w), 0) + 1
+    size = {d: sum(c.values()) + 0.1 * M.BUCKETS for d, c in seen.items()}
+    for got in M.posteriors(docs, model).collect():
+        words = next(((r.text or "").lower().split() for r in docs.where(f"doc_id <=> {got.doc_id if got.doc_id is not None else 'null'}").limit(1).collect()), [])
+        if got.doc_id is None or got.doc_id % 23:
+            continue
+        logit = [math.log(sum(r.domain == d for r in rows) / len(rows)) + sum(math.log((seen[d].get(bucket(w), 0) + 0.1) / size[d]) for w in words) / math.sqrt(max(len(words), 1)) for d in domains]
+        share = [math.exp(x - max(logit)) for x in logit]
+        assert list(got.posterior) == pytest.approx([x / sum(share) for x in share], abs=1e-4)
+
+
+def test_targets_that_no_rates_meet_end(spark):
+    """Two domains whose posteriors are the same in every document can't be told apart: the fit ends and says so."""
+    docs = spark.createDataFrame([(i, "same words here", "p" if i % 2 else "q") for i in range(40)], "doc_id long, text string, domain string")
+    _, fit = M.rates(docs, M.learn(docs), {"p": 9, "q": 1})
+    assert not fit.met and fit.reached.sum() == pytest.approx(fit.targets.sum(), rel=0.05)
+
+
+def test_overlapping_domains_take_many_steps(spark, monkeypatch):
+    """Soft membership: rates are written every few steps and end where replaying all steps ends."""
+    rng = random.Random(2)
+    words = {"p": "a b c d e f".split(), "q": "d e f g h i".split(), "r": "g h i a b c".split()}
+    rows = [(i, " ".join(rng.choice(words["pqr"[i % 3]]) for _ in range(rng.randrange(3, 9))), "pqr"[i % 3]) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    monkeypatch.setattr(M, "KEEP", 1)
+    rated, fit = M.rates(docs, M.learn(docs), {"p": 0.7, "q": 0.2, "r": 0.1})
+    got = rated.collect()
+    p, t, r = (np.array([row[c] for row in got], float) for c in ("posterior", "n_tokens", "rate"))
+    assert len(fit.residuals) > 3 and fit.met
+    assert (t * r) @ p == pytest.approx(fit.reached, rel=1e-6) and r.min() >= 0
+
+
+def test_clashing_names_and_unnamed_domains(spark):
+    docs = corpus(spark).selectExpr("*", "100 as copy", "1.5D as rate", "'n' as c0")
+    model = M.learn(docs)
+    out = M.mix(docs, model, {"x": 1, "y": 3})
+    assert out.columns == docs.columns
+    assert {(r.copy, r.rate, r.c0) for r in out.collect()} == {(100, 1.5, "n")}
+    _, fit = M.rates(docs, model, {"x": 1, "y": 3})
+    at = fit.domains.index("z")
+    assert fit.targets[at] == fit.natural[at] and fit.targets[fit.domains.index("y")] == pytest.approx(3 * fit.targets[fit.domains.index("x")])
+
+
 def test_mix_repeats_rows_and_keeps_columns(spark):
     docs = corpus(spark)
     model = M.learn(docs)
     rated, _ = M.rates(docs, model)
-    want = {(r.doc_id, r.n_tokens): max(r.copies, 1) for r in M.with_copies(rated).collect()}
-    out = M.mix(docs, model, least=1)
+    want = {(r.doc_id, r.n_tokens): r.copies for r in M.with_copies(rated).collect()}
+    out = M.mix(docs, model)
     assert out.columns == docs.columns
     got = {}
     for r in out.collect():
@@ -61,7 +117,7 @@ def test_empty_and_unlabelled(spark):
     none = docs.where("doc_id < 0")
     assert M.rates(none, M.learn(docs))[0].count() == 0
     rated, fit = M.rates(docs, M.learn(none))
-    assert fit.domains == [""] and rated.agg({"rate": "max"}).first()[0] == 1.0
+    assert fit.domains == [""] and rated.agg({"rate": "max"}).first()[0] == pytest.approx(1 + M.LIFT, rel=1e-3)
 
 
 def test_small_domains_are_sampled_too(spark):
