@@ -7,9 +7,8 @@ language with the largest sum wins; the score is its share after a softmax.
 
 The counts behind the model come from a bounded sample of labelled rows: SAMPLE rows in
 expectation, dealt evenly over the languages and chosen by a hash of doc_id.  The model
-keeps the MAX_WORDS commonest words and MAX_GRAMS commonest n-grams of that sample, so what is
-sent to every executor has a fixed size.  Prediction reads every whole text once, without
-an exchange.
+keeps every word and n-gram of that sample, so what is sent to every executor is bounded by the
+sample.  Prediction reads every whole text once, without an exchange.
 
 Defined results: a null text or one without a letter is ``und`` with score 0.0; a null id
 is never learned from and counts as not held out; rows without a language are not learned
@@ -31,8 +30,6 @@ from . import bytesops as B
 from .common import buffer_of, by_size, text_column
 
 SAMPLE = 8_000
-MAX_WORDS = 60_000
-MAX_GRAMS = 120_000
 LEVELS = (5, 4, 3, 2, 1)
 #: What an unseen word's n-grams count against a known word.
 BACKOFF = 0.5
@@ -107,18 +104,18 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         .mapInArrow(_count_batches, "lang string, level int, key long, n long")
         .groupBy("level", "key", "lang")
         .agg(F.sum("n").alias("n"))
-        .where("n > 1")
     )
-    counts = counts.persist()
-    best = [counts.where(cond).orderBy(F.desc("n"), "key", "lang").limit(most).toArrow() for cond, most in (("level = 0", MAX_WORDS), ("level > 0", MAX_GRAMS))]
-    totals = {(r.lang, r.level): r.n for r in counts.groupBy("lang", "level").agg(F.sum("n").alias("n")).collect()}
-    counts.unpersist()
-    table = pa.concat_tables(best)
+    table = counts.toArrow()
+    table = table.set_column(table.schema.get_field_index("lang"), "lang", table["lang"].combine_chunks().dictionary_encode())
+    by_level = table.group_by(["lang", "level"]).aggregate([("n", "sum")])
+    totals = {(lang, level): n for lang, level, n in zip(*(by_level[c].to_pylist() for c in ("lang", "level", "n_sum")), strict=True)}
     langs = sorted({lang for lang, _ in totals})
     at = {lang: i for i, lang in enumerate(langs)}
     keys, where = np.unique(table["key"].to_numpy().view(np.uint64), return_inverse=True)
     seen = np.zeros((len(keys), max(len(langs), 1)))
-    lang = np.array([at[x] for x in table["lang"].to_pylist()], np.int64)
+    codes = table["lang"].combine_chunks()
+    codes = codes if isinstance(codes, pa.DictionaryArray) else codes.chunk(0)
+    lang = np.array([at[x] for x in codes.dictionary.to_pylist()], np.int64)[codes.indices.to_numpy()] if len(codes) else np.zeros(0, np.int64)
     seen[where, lang] = table["n"].to_numpy()
     level = np.zeros(len(keys), np.int64)
     level[where] = table["level"].to_numpy()
