@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesops as B
-from .common import buffer_of, by_size, text_column
+from .common import buffer_of, by_size, meet, text_column
 from .compression_quality import base_counts
 
 SAMPLE = 20_000
@@ -198,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rules:
     known = labels.select("doc_id", "label").dropna().dropDuplicates(["doc_id"])
     rate = min(1.0, sample / max(known.count(), 1))
     lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = docs.select("doc_id", "text").where(lot < rate).join(known.where(lot < rate), "doc_id")
+    rows = meet(docs.select("doc_id", "text").where(lot < rate), known.where(lot < rate), 4 * sample)
     table = rows.select("doc_id", "text", "label").mapInArrow(_labelled_batches, SCHEMA + ", label int").toArrow().sort_by("doc_id")
     x = np.stack([table[s].to_numpy() for s in STATS], axis=1) if table.num_rows else np.zeros((0, len(STATS)))
     return fit_rules(x, table["label"].to_numpy().astype(float) if table.num_rows else np.zeros(0))

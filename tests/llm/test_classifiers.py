@@ -1,9 +1,11 @@
 """Held-out accuracy of the learned operators, and their defined results on odd rows."""
 
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from caselake.llm import language_id, queries, rule_quality, toxicity_cnn
@@ -34,6 +36,93 @@ def test_language_odd_rows(spark, odd):
     assert language_id.identify(odd.where("doc_id < 0"), model).count() == 0
 
 
+def test_language_scores_equal_a_plain_scorer(spark):
+    """Counts, backoff and softmax in plain Python dictionaries."""
+    rng = random.Random(3)
+    vocab = {"aa": ["maison", "chat", "être", "rouge", "lapin", "un"], "bb": ["house", "cat", "being", "red", "rabbit", "a"], "cc": ["haus", "katze", "sein", "rot", "hase", "un"]}
+    rows = [(i, " ".join(rng.choice(vocab[lang]) for _ in range(6)), lang) for i, lang in enumerate(sorted(vocab) * 8)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    langs, counts = sorted(vocab), {}
+    for _, text, lang in rows:
+        for w in text.split():
+            for level, grams in [(0, [w])] + [(n, [w[i : i + n] for i in range(len(w) - n + 1)]) for n in (5, 4, 3, 2, 1)]:
+                for g in grams:
+                    counts.setdefault((level, g), dict.fromkeys(langs, 0))[lang] += 1
+    size = {(level, lang): sum(c[lang] for (k, _), c in counts.items() if k == level) for level in range(6) for lang in langs}
+    kinds = {level: sum(k == level for k, _ in counts) for level in range(6)}
+
+    def weight(level, g):
+        logs = [np.log((counts[level, g][x] + 0.5) / (size[level, x] + 0.5 * kinds[level])) for x in langs]
+        return [min(max(v - sum(logs) / 3, -language_id.REACH), language_id.REACH) for v in logs]
+
+    def plain(text):
+        sums = [0.0] * 3
+        for w in text.lower().split():
+            if (0, w) in counts:
+                own = weight(0, w)
+            else:
+                own = [0.0] * 3
+                for n in (5, 4, 3, 2, 1):
+                    known = [weight(n, w[i : i + n]) for i in range(len(w) - n + 1) if (n, w[i : i + n]) in counts]
+                    if known:
+                        own = [language_id.BACKOFF * sum(k[j] for k in known) / len(known) for j in range(3)]
+                        break
+            sums = [a + b for a, b in zip(sums, own, strict=True)]
+        share = np.exp(np.array(sums) - max(sums))
+        return langs[int(np.argmax(sums))], float(share.max() / share.sum())
+
+    texts = ["Maison rouge", "the rabbits", "katzen un haus", "zz qq", "être x", "house house", "lapins rot redder"]
+    got = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        lang, score = plain(text)
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score, abs=1e-4)
+
+
+def test_text_statistics_match_plain_python():
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    texts = ["", "Word word word! UPPER 12 é\nline two\nline two\n\n", f"{one} {one.translate(str.maketrans('ab', 'ba'))} {one}", "a\tb  a\x0bb a b a b", "#*$ <x> [y] {z} naïve ÀÉ 99"]
+    raw = [t.encode() for t in texts]
+    got = rule_quality.text_stats(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    marks = set("!?#*$%&|<>=~^_{}[]\\")
+    for text, row in zip(texts, got, strict=True):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        n, chars, lines = max(len(words), 1), max(len(text), 1), text.count("\n") + 1
+        letters = max(sum(c.isascii() and c.isalpha() for c in text), 1)
+        filled = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        again = {k for i, g in enumerate(grams) if grams.count(g) > 1 for k in (i, i + 1, i + 2)}
+        want = {
+            "n_words": len(words), "mean_word": sum(map(len, words)) / n, "symbol_share": sum(c in "#*$%&|<>" for c in text) / n, "upper_share": sum(c.isascii() and c.isupper() for c in text) / letters,
+            "digit_share": sum(c in "0123456789" for c in text) / chars, "mark_share": sum(c in marks for c in text) / chars, "accent_share": sum(b >= 0xC0 for b in text.encode()) / chars,
+            "dup_line_share": (len(filled) - len(set(filled))) / lines, "repeat_share": len(again) / n, "echo_share": sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
+            "distinct_share": len(set(words)) / n if words else 0, "mean_line": len(text.encode()) / lines, "marked_word_share": sum(w[-1] in marks for w in words) / n,
+        }
+        assert dict(zip(rule_quality.STATS, row, strict=True)) == pytest.approx(want)
+
+
+def test_quality_of_an_empty_table(spark, odd):
+    assert rule_quality.score(odd.where("doc_id < 0"), rule_quality.Rules()).count() == 0
+
+
+def test_toxicity_sample_is_bounded_by_words():
+    rows = [Row(doc_id=i, label=i % 2, lot=(i * 37) % 100, n=10 + 90 * (i == 4)) for i in range(100)]
+    low, high = toxicity_cnn.within_words(rows, 200)
+    for label, (first, last) in enumerate((low, high)):
+        own = sorted((r.lot, r.n) for r in rows if r.label == label)
+        chosen = [n for lot, n in own if first <= lot <= last]
+        assert sum(chosen) <= 100 and chosen == [n for _, n in own][: len(chosen)] and len(chosen) > 0
+    assert toxicity_cnn.within_words([], 10) == [(0, -1), (0, -1)]
+
+
+def test_toxic_documents_are_found_held_out(spark):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "toxic")
+    rows = queries.op6_toxicity_cnn(spark, SMALL).join(labels, "doc_id").where("held_out").collect()
+    clean = [r.predicted for r in rows if r.toxic == 0]
+    assert len(rows) > 50 and np.mean(clean) < 0.03
+
+
 def test_backoff_uses_shorter_grams_for_unseen_words(spark):
     rows = [(i, "maison chaton raison" if i % 2 else "houses kitten reason", "fr" if i % 2 else "en") for i in range(40)]
     model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
