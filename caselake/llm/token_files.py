@@ -36,14 +36,23 @@ SLICE = 4 << 20
 CACHE = 300_000
 KEEP_HITS = 4
 SEGMENT_IDS = 1 << 20
-NO_ID = np.iinfo(np.int64).min  # stands for a null doc_id inside files
+NO_ID = np.iinfo(np.int64).min  # stands for a null doc_id inside files: a doc_id of this value comes back as null
 SEGMENT_SCHEMA = "bucket int, first long, n_ids long, segment binary"
 RESULT_SCHEMA = "doc_id long, bucket int, first long, n_tokens long, ids_crc32 long"
 _TAIL = b".,!?;:*$&%#|-"
 
 
+#: Texts that a vocabulary must encode alike by words and as wholes.
+_PROBES = (
+    "", " a  b\tc\x0bd\ne\u00a0f ", "Hello, World!! it's we'll DON'T 'tis", "caf\u00e9 na\u00efve; \u00dcn\u00efcode\u2026 stra\u00dfe 3.14 x1y2 \u0130stanbul",
+    "a.b,c;d:e!f?g", "word. word, word", "$5 50% #tag &c *x* a-b |", "\u65e5\u672c\u8a9e\u3001\u30c6\u30b9\u30c8 \U0001f600x", "x" * 300, "1 22 333 4444 v2",
+)
+
+
 class WordEncoder:
-    """Ids of whole texts, each distinct word encoded once by the library."""
+    """Ids of whole texts, each distinct word encoded once by the library.
+
+    This needs a vocabulary that splits at ASCII spaces and between letters and signs, and ignores case; others are refused."""
 
     def __init__(self, vocabulary: str):
         import os
@@ -59,6 +68,10 @@ class WordEncoder:
         for token, i in self.library.get_vocab().items():
             self.closes[i] = token.endswith(suffix)
         self._forget()
+        raw = [t.encode() for t in _PROBES]
+        ids, lengths = self.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        if [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] != self._whole(list(_PROBES)):
+            raise ValueError(f"{vocabulary}: words can't be encoded one by one under this vocabulary")
 
     def _forget(self) -> None:
         """Keep the words met several times since the last time, and forget the others."""
