@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm import minhash_dedup, mixing, piece_nbest, suffix_dedup, toxicity_cnn
-from caselake.llm.common import drop_staged, fold, stage
+from caselake.llm.common import drop_staged, fold, scope, stage
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,10 +36,9 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat documents by their fitted rates; each stays once at least."""
-    listed = _labels(spark, sf_dir).select("doc_id").distinct()
-    labelled = docs.select("doc_id", "text", F.col("lang").alias("domain")).join(listed, "doc_id", "left_semi")
-    return mixing.mix(docs, mixing.learn(labelled), least=1)
+    """Repeat documents by their fitted rates, under targets that no domain shrinks for."""
+    labelled = docs.select("doc_id", "text", F.col("lang").alias("domain"))
+    return mixing.mix(docs, mixing.learn(labelled, _labels(spark, sf_dir)))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +55,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, function) in enumerate(STAGES):
-        made = function(spark, docs, sf_dir)
-        if i == len(STAGES) - 1:
-            return made
-        before, docs = docs, stage(made, f"stage-{name}")
+    for name, function in STAGES[:-1]:
+        with scope() as tables:  # what a stage wrote on its way goes with it
+            before, docs = docs, stage(function(spark, docs, sf_dir), f"stage-{name}")
+            tables.keep(docs)
         drop_staged(before)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
