@@ -2,7 +2,8 @@ import hashlib
 import random
 
 import numpy as np
-from hypothesis import given, settings
+from hypothesis import given
+from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
 
 from caselake.llm import suffix_dedup as S
@@ -24,7 +25,7 @@ def brute(rows):
     return out
 
 
-@settings(max_examples=30, deadline=None)
+@hypothesis_settings(max_examples=30, deadline=None)
 @given(st.lists(st.sampled_from(["ab", "abc", "xyz ", "é", "a" * 40]), min_size=0, max_size=400), st.integers(0, 5))
 def test_one_shard_matches_brute_force(parts, shift):
     data = np.frombuffer(("q" * shift + "".join(parts)).encode(), np.uint8)
@@ -76,6 +77,53 @@ def test_matches_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_hot_passages_merge_in_levels(spark, monkeypatch):
+    """A passage in every text, a phrase with changing surroundings, and a shard for every few texts: keys over HOT go through levels."""
+    monkeypatch.setattr(S, "HOT", 2)
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    passage, phrase = " ".join(word() for _ in range(40)), " ".join(word() for _ in range(12))
+    rows = []
+    for i in range(150):
+        body = [" ".join(word() for _ in range(60)), passage if i % 3 else passage[7:150], phrase, " ".join(word() for _ in range(30)), phrase]
+        rows.append((i, " ".join(body)))
+    levels = []
+    plain = S._merged
+    monkeypatch.setattr(S, "_merged", lambda firsts, pass_on: levels.append(pass_on) or plain(firsts, pass_on))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    try:
+        got = sorted(tuple(r) for r in S.dedup_digest(df).collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == brute(rows)
+    assert levels[:2] == ["runs", "finer"] and set(levels[2:]) <= {"windows", ""}
+
+
+def test_windows_are_told_apart_by_bytes(monkeypatch):
+    """With a hash of 3 bits nearly every window collides."""
+    monkeypatch.setattr(S.B.ShortHash, "__call__", lambda self, starts, ends, plain=S.B.ShortHash.__call__: plain(self, starts, ends) & np.uint64(7))
+    rng = random.Random(9)
+    raw = bytes(rng.choice(b"ab") for _ in range(300)) * 3
+    data, at = np.frombuffer(raw, np.uint8), np.arange(len(raw) - S.LENGTH + 1)
+    found = S.holders(data, at, np.zeros(len(at), np.uint64))
+    seen = {}
+    assert found.tolist() == [seen.setdefault(raw[i : i + S.LENGTH], i) for i in at]
+
+
+def test_self_similar_texts_stay_apart(spark):
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, one.translate(str.maketrans("ab", "ba"))), (3, one[:1024]), (4, "x" + one[1024:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in S.dedup_digest(df).collect()) == brute(rows)
+
+
 def test_equal_rows_come_out_alike(spark):
     rows = [(1, "n" * 150), (2, "w" * 300), (2, "w" * 300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
