@@ -6,7 +6,7 @@ by projected-gradient least squares, so that these totals meet the targets.  The
 document's rate is its posterior times a vector of residuals, one number a domain; that vector is all
 that a step moves.  A step's rates follow from the residual vectors so far: each pass replays those since the
 rates were last written (every KEEP steps) and returns one row of partial totals a partition.  The steps end when the totals
-meet the targets, or when a step no longer moves them (targets that no rates can meet); ``Fit`` holds both.
+meet the targets, or when a step closes under a hundredth of the gap (targets that rates can't meet); ``Fit`` holds both.
 
 The classifier is naive Bayes over hashed words with a tempered posterior; its counts come from a
 bounded sample (SAMPLE rows in expectation, dealt evenly over domains by a hash of doc_id) and fill BUCKETS x domains numbers.
@@ -36,8 +36,8 @@ BUCKETS = 1 << 14
 #: Sampled rows of each domain in expectation, however many domains share the sample.
 LEAST_PER_DOMAIN = 20
 TOLERANCE = 1e-4
-#: A step that moves less than this share of the tokens is the last one.
-STILL = 1e-7
+#: A step that leaves more than this share of the gap is the last one: the targets can't be met, or hardly.
+STALL = 0.99
 #: Steps between writings of the rates.
 KEEP = 16
 #: Target shares are natural shares to this power: below 1 it lifts the small domains.
@@ -63,6 +63,7 @@ class Fit:
     reached: np.ndarray
     step: float
     residuals: np.ndarray  # a row for each gradient step
+    floor: float
 
     @property
     def met(self) -> bool:
@@ -141,7 +142,7 @@ def _rate(batch: pa.RecordBatch) -> np.ndarray | None:
     return None if at < 0 else batch.column(at).to_numpy()
 
 
-def _with_rates(table: DataFrame, k: int, residuals: np.ndarray, step: float) -> DataFrame:
+def _with_rates(table: DataFrame, k: int, residuals: np.ndarray, step: float, floor: float) -> DataFrame:
     """The table with the rates after these steps, written."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,27 +150,27 @@ def _with_rates(table: DataFrame, k: int, residuals: np.ndarray, step: float) ->
             if batch.num_rows:
                 tokens, p = _matrix(batch, k)
                 held = batch.column(batch.schema.get_field_index("posterior"))
-                yield pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), held, pa.array(replay(p, residuals, step, _rate(batch)))], names=["n_tokens", "posterior", "rate"])
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), held, pa.array(replay(p, residuals, step, _rate(batch), floor))], names=["n_tokens", "posterior", "rate"])
 
     return stage(table.drop("doc_id").mapInArrow(rows, "n_tokens long, posterior array<double>, rate double"), "rates")
 
 
-def replay(posterior: np.ndarray, residuals: np.ndarray, step: float, rate: np.ndarray | None = None) -> np.ndarray:
+def replay(posterior: np.ndarray, residuals: np.ndarray, step: float, rate: np.ndarray | None = None, floor: float = 0.0) -> np.ndarray:
     """Rates after the projected-gradient steps of these residual vectors, from 1 or from ``rate``."""
     rate = np.ones(len(posterior)) if rate is None else rate
     for residual in residuals:
-        rate = np.maximum(rate - step * (posterior @ residual), 0)
+        rate = np.maximum(rate - step * (posterior @ residual), floor)
     return rate
 
 
-def _totals(table: DataFrame, k: int, residuals: np.ndarray, step: float, squares: bool = False) -> np.ndarray:
+def _totals(table: DataFrame, k: int, residuals: np.ndarray, step: float, floor: float = 0.0, squares: bool = False) -> np.ndarray:
     """Expected tokens by domain at the rates so far; or the Gram matrix of the posteriors, by tokens."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(k * k if squares else k)
         for batch in batches:
             tokens, p = _matrix(batch, k)
-            total += ((p * tokens[:, None]).T @ p).ravel() if squares else (tokens * replay(p, residuals, step, _rate(batch))) @ p
+            total += ((p * tokens[:, None]).T @ p).ravel() if squares else (tokens * replay(p, residuals, step, _rate(batch), floor)) @ p
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["at", "total"])
 
     found = table.drop("doc_id").mapInArrow(rows, "at long, total double").groupBy("at").agg(F.sum("total").alias("total")).collect()
@@ -180,8 +181,7 @@ def _totals(table: DataFrame, k: int, residuals: np.ndarray, step: float, square
 
 
 def tempered(natural: np.ndarray, power: float = TEMPER) -> np.ndarray:
-    """Token targets with shares of ``natural ** power``, so large that every domain grows by LIFT at least:
-    no rate falls under 1, so each document is taken once or more."""
+    """Token targets with shares of ``natural ** power``, so large that every domain grows by LIFT at least."""
     share = np.where(natural > 0, np.maximum(natural, 1e-300) ** power, 0.0)
     if not share.sum():
         return natural
@@ -189,10 +189,10 @@ def tempered(natural: np.ndarray, power: float = TEMPER) -> np.ndarray:
     return share * np.max(natural[share > 0] / share[share > 0]) * (1 + LIFT)
 
 
-def fit_rates(table: DataFrame, domains: list[str], weights: dict[str, float] | None = None, total: float | None = None) -> Fit:
+def fit_rates(table: DataFrame, domains: list[str], weights: dict[str, float] | None = None, total: float | None = None, floor: float = 0.0) -> Fit:
     """Fit rates on a staged table of posteriors.  ``weights`` are target shares by domain, of ``total``
     expected tokens (the natural total if not given) less those of domains that ``weights`` doesn't name, which keep
-    their tokens; without ``weights`` the targets are tempered."""
+    their tokens; without ``weights`` the targets are tempered.  No rate is fitted under ``floor``: 0, or 1 to keep every document."""
     k = len(domains)
     nothing = np.zeros((0, k))
     natural = _totals(table, k, nothing, 0.0)
@@ -203,22 +203,20 @@ def fit_rates(table: DataFrame, domains: list[str], weights: dict[str, float] |
         rest = max((natural.sum() if total is None else total) - natural[~named].sum(), 0.0)
         targets = np.where(named, share / max(share.sum(), 1e-300) * rest, natural)
     gram = _totals(table, k, nothing, 0.0, squares=True).reshape(k, k)
-    scale = 1 / np.maximum(np.diag(gram), 1e-12)  # weight of each domain's square: its own curvature
-    root = np.sqrt(scale)
-    step = 1 / max(np.linalg.eigvalsh(root[:, None] * gram * root[None, :])[-1], 1e-12)
-    steps, reached, since = [], natural, 0
-    while np.abs(reached - targets).sum() > TOLERANCE * max(targets.sum(), 1e-12):
-        steps.append(scale * (reached - targets))
+    # gaps are weighed by the inverse of the Gram matrix: without a rate at its floor one step of 1 closes them all,
+    # and domains that documents don't tell apart take no part in their difference
+    weigh, step = np.linalg.pinv(gram, rcond=1e-9, hermitian=True), 1.0
+    steps, reached, since, left = [], natural, 0, np.inf
+    while TOLERANCE * max(targets.sum(), 1e-12) < (gap := np.abs(reached - targets).sum()) <= STALL * left:
+        left = gap
+        steps.append(weigh @ (reached - targets))
         if len(steps) - since > KEEP:
-            before, table = table, _with_rates(table, k, np.array(steps[since:-1]), step)
+            before, table = table, _with_rates(table, k, np.array(steps[since:-1]), step, floor)
             if since:
                 drop_staged(before)
             since = len(steps) - 1
-        now = _totals(table, k, np.array(steps[since:]), step)
-        moved, reached = np.abs(now - reached).sum(), now
-        if moved <= STILL * max(targets.sum(), 1e-12):
-            break
-    return Fit(domains, targets, natural, reached, step, np.array(steps).reshape(-1, k))
+        reached = _totals(table, k, np.array(steps[since:]), step, floor)
+    return Fit(domains, targets, natural, reached, step, np.array(steps).reshape(-1, k), floor)
 
 
 def _rate_batches(fit: Fit) -> Callable:
@@ -226,17 +224,17 @@ def _rate_batches(fit: Fit) -> Callable:
         for batch in batches:
             if batch.num_rows:
                 _, p = _matrix(batch, len(fit.domains))
-                rate = np.round(replay(p, fit.residuals, fit.step), 9)
+                rate = np.round(replay(p, fit.residuals, fit.step, floor=fit.floor), 9)
                 best = np.array(fit.domains, object)[p.argmax(axis=1)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(rate)], names=[*batch.schema.names, "domain", "rate"])
 
     return rows
 
 
-def rates(docs: DataFrame, model: Classifier, weights: dict[str, float] | None = None, total: float | None = None) -> tuple[DataFrame, Fit]:
+def rates(docs: DataFrame, model: Classifier, weights: dict[str, float] | None = None, total: float | None = None, floor: float = 0.0) -> tuple[DataFrame, Fit]:
     """(doc_id, n_tokens, posterior, domain, rate) of each row of ``docs``, and the fit."""
     table = stage(posteriors(docs, model), "posteriors")
-    fit = fit_rates(table, model.domains, weights, total)
+    fit = fit_rates(table, model.domains, weights, total, floor)
     return table.mapInArrow(_rate_batches(fit), POSTERIOR_SCHEMA + ", domain string, rate double"), fit
 
 
@@ -247,12 +245,12 @@ def with_copies(rated: DataFrame) -> DataFrame:
     return rated.withColumn("copies", copies.cast("long"))
 
 
-def mix(docs: DataFrame, model: Classifier, weights: dict[str, float] | None = None, total: float | None = None) -> DataFrame:
+def mix(docs: DataFrame, model: Classifier, weights: dict[str, float] | None = None, total: float | None = None, floor: float = 0.0) -> DataFrame:
     """``docs`` with each row as often as its rate says; the same columns.
 
     The rates are computed where the texts are read, from the fitted residual vectors: texts never move."""
     with scope():
-        fit = fit_rates(stage(posteriors(docs, model), "posteriors"), model.domains, weights, total)
+        fit = fit_rates(stage(posteriors(docs, model), "posteriors"), model.domains, weights, total, floor)
     names = docs.columns
     kept = [f"c{i}" for i in range(len(names))]  # the rows' own names may be any
 
@@ -263,7 +261,7 @@ def mix(docs: DataFrame, model: Classifier, weights: dict[str, float] | None = N
             texts = batch.schema.get_field_index("text")
             scored = _scored(score, batch.column(ids), batch.column(texts))
             _, p = _matrix(scored, len(fit.domains))
-            rate = np.round(replay(p, fit.residuals, fit.step), 9)
+            rate = np.round(replay(p, fit.residuals, fit.step, floor=fit.floor), 9)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=[*kept, "rate"])
 
     fields = [StructField(c, f.dataType, f.nullable) for c, f in zip(kept, docs.schema.fields, strict=True)]
