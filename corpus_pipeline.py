@@ -36,9 +36,9 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat documents by their fitted rates, under targets that no domain shrinks for."""
+    """Repeat documents by their fitted rates, of 1 at least, under targets that no domain shrinks for: every document stays."""
     labelled = docs.select("doc_id", "text", F.col("lang").alias("domain"))
-    return mixing.mix(docs, mixing.learn(labelled, _labels(spark, sf_dir)))
+    return mixing.mix(docs, mixing.learn(labelled, _labels(spark, sf_dir)), floor=1.0)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
