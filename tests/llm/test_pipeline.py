@@ -78,6 +78,19 @@ def test_run_chains_the_stages(spark, fixture_dir):
     assert out.where("not decoded").count() == 0 and out.count() > 150
 
 
+def test_extra_columns_and_repeated_rows(spark, fixture_dir):
+    """Columns with names that the stages use inside stay; rows that repeat come out of the near-duplicate stage once."""
+    docs = spark.read.parquet(f"{fixture_dir}/documents.parquet").where("doc_id < 60").selectExpr("*", "1.5D as rate", "7 as copy", "'s' as spans", "0.5 as score", "doc_id + 1 as component_id", "'c' as c0")
+    docs = docs.unionAll(docs.where("doc_id < 5"))
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = stage(function(spark, docs, fixture_dir), "test")
+        assert out.columns == docs.columns and {(r.rate, r.copy, r.spans, r.c0) for r in out.collect()} == {(1.5, 7, "s", "c")}
+        if name == "minhash":
+            assert out.groupBy("doc_id").count().where("count > 1").isEmpty() and {r.doc_id for r in out.collect()} >= {r.doc_id for r in docs.where("doc_id < 5").collect()} - {2}
+        docs = out
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, fixture_dir).count() == docs.count()
+
+
 def test_empty_documents(spark, fixture_dir, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{fixture_dir}/{name}.parquet").where("doc_id < 0").write.parquet(f"{tmp_path}/{name}.parquet")
