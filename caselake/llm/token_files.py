@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,8 @@ from .common import bucket_placer, buffer_of, by_size, partitions, stage, text_c
 END_ID = 2
 SLICE = 4 << 20
 #: Known words are forgotten beyond this many, to bound memory.
-CACHE = 300_000
-KEEP_HITS = 4
+CACHE = 500_000
+KEEP_HITS = 3
 SEGMENT_IDS = 1 << 20
 NO_ID = np.iinfo(np.int64).min  # stands for a null doc_id inside files: a doc_id of this value comes back as null
 SEGMENT_SCHEMA = "bucket int, first long, n_ids long, segment binary"
@@ -87,9 +87,11 @@ class WordEncoder:
 
     def _distinct(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """(words, their ids end to end, ids of each): those of letters only share a call, split at word ends."""
-        plain, other = [], []
-        for w in words:
-            (plain if (w.isalpha() if w.isascii() else w.decode().isalpha()) else other).append(w)
+        plain = [w for w in words if w.isalpha()]  # of ASCII letters
+        mixed = [w for w in words if not w.isalpha()] if len(plain) < len(words) else []
+        letters = [not w.isascii() and w.decode().isalpha() for w in mixed]
+        plain += compress(mixed, letters)
+        other = [w for w, only in zip(mixed, letters, strict=True) if not only]
         groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
         names, flat, sizes = [], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for group, ids in zip(groups, self._whole([b" ".join(g).decode() for g in groups]), strict=True):
@@ -107,16 +109,16 @@ class WordEncoder:
         return names + other, np.concatenate(flat), np.concatenate(sizes)
 
     def _learn(self, words: list[bytes]) -> None:
-        cores, tails, tailed = [], [], []
+        cores, tails, tailed = [w.rstrip(_TAIL) for w in words], [], []
         for at, w in enumerate(words):
-            core = w.rstrip(_TAIL)
-            # a letter and the signs behind it are never one token
-            if core is not w and core and (core[-1:].isalpha() if core[-1] < 128 else core.decode()[-1].isalpha()):
-                cores.append(core)
-                tails.append(w[len(core) :])
-                tailed.append(at)
-            else:
-                cores.append(w)
+            core = cores[at]
+            if core is not w:
+                # a letter and the signs behind it are never one token
+                if core and (core[-1:].isalpha() if core[-1] < 128 else core.decode()[-1].isalpha()):
+                    tails.append(w[len(core) :])
+                    tailed.append(at)
+                else:
+                    cores[at] = w
         names, flat, size = self._distinct(list({*cores, *tails}))
         index = dict(zip(names, range(len(names)), strict=True))
         parts = np.ones(len(words), np.int64)
@@ -152,8 +154,9 @@ class WordEncoder:
         at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0)
         if len(new):
-            self._learn(list(dict.fromkeys([words[k] for k in new.tolist()])))
-            at[new] = np.fromiter((self.known[words[k]] for k in new.tolist()), np.int64, len(new))
+            unseen = list(map(words.__getitem__, new.tolist()))
+            self._learn(list(dict.fromkeys(unseen)))
+            at[new] = np.fromiter(map(self.known.__getitem__, unseen), np.int64, len(new))
         self.hits += np.bincount(at, minlength=len(self.hits))
         size = self.size[at]
         ids = gather(self.pool, self.first[at], size)
