@@ -12,11 +12,23 @@ from pyspark.sql import functions as F
 
 from ..shared import drop_staged, new_path, scope, stage
 
-__all__ = ["buffer_of", "bucket_placer", "by_size", "drop_staged", "fold", "meet", "new_path", "partitions", "read_documents", "scope", "stage", "text_column"]
+__all__ = ["buffer_of", "bucket_placer", "by_size", "drop_staged", "fold", "meet", "new_path", "partitions", "read_documents", "scope", "small_batches", "stage", "text_column"]
+
+
+#: Rows of a batch that Spark hands to Python: the operators slice batches by bytes, so larger ones only cost memory.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a task holds of whole texts on both sides, unless the session asks for less."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def read_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The ``documents`` table, narrowed to ``columns`` when given."""
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return docs.select(*columns) if columns else docs
 
