@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm import minhash_dedup, mixing, piece_nbest, suffix_dedup, toxicity_cnn
-from caselake.llm.common import drop_staged, fold, scope, stage
+from caselake.llm.common import drop_staged, fold, read_documents, scope, stage
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_documents(spark, sf_dir)
     for name, function in STAGES[:-1]:
         with scope() as tables:  # what a stage wrote on its way goes with it
             before, docs = docs, stage(function(spark, docs, sf_dir), f"stage-{name}")
