@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Whitespace of the name cleaner's patterns, spelled out: Java's \s also takes a vertical tab.
+_SPACE = r"[\t\n\f\r ]"
 # What the name cleaner recognises.
-QUALIFIERS = r"\(\s*(RABBIT|HORSE|EQUINE|I[- ]?131|LU[- ]?177|TC[- ]?99M)\s*\)"
-FORM_WORDS = r"[\t\n\f\r ]+(TABLETS?|CAPSULES?|CAPLETS?|SOLUTION FOR INJECTION|INJECTION)$"
-STRENGTH = r"[\t\n\f\r ]+[0-9][0-9./]*[\t\n\f\r ]*(MG|MCG|G|ML|%)$"
+QUALIFIERS = rf"\({_SPACE}*(RABBIT|HORSE|EQUINE|I[- ]?131|LU[- ]?177|TC[- ]?99M){_SPACE}*\)"
+FORM_WORDS = rf"{_SPACE}+(TABLETS?|CAPSULES?|CAPLETS?|SOLUTION FOR INJECTION|INJECTION)$"
+STRENGTH = rf"{_SPACE}+[0-9][0-9./]*{_SPACE}*(MG|MCG|G|ML|%)$"
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
 
-_SPACE = r"[\t\n\f\r ]"
-
 
 def clean_name(name: Column) -> Column:
     """A product name without parentheses, trailing signs, one form word and one strength with a unit."""
-    unwrapped = F.regexp_replace(name, QUALIFIERS.replace(r"\s", _SPACE), " $1")
+    unwrapped = F.regexp_replace(name, QUALIFIERS, " $1")
     closed = F.regexp_replace(unwrapped, rf"{_SPACE}*\([^)]*\)", "")
     opened = F.regexp_replace(closed, rf"{_SPACE}*\([^)]*$", "")
     signs = F.regexp_replace(F.trim(F.regexp_replace(opened, r"[.,;:\t\n\f\r ]+$", "")), rf"{_SPACE}+", " ")

@@ -15,13 +15,13 @@ _QUARTER = re.compile(r"\d{4}q[1-4]", re.IGNORECASE)
 RENAMES = {
     "demo": [("isr", "primaryid", (2012, 4)), ("case", "caseid", (2012, 4)), ("foll_seq", "caseversion", (2012, 4)), ("i_f_cod", "i_f_code", (2012, 4)), ("gndr_cod", "sex", (2014, 3))],
     "drug": [("isr", "primaryid", (2012, 4))],
-    "reac": [("isr", "primaryid", (2012, 4))],
+    "indi": [("isr", "primaryid", (2012, 4)), ("drug_seq", "indi_drug_seq", (2012, 4))],
     "outc": [("isr", "primaryid", (2012, 4))],
+    "reac": [("isr", "primaryid", (2012, 4))],
     "rpsr": [("isr", "primaryid", (2012, 4))],
-    "indi": [("isr", "primaryid", (2012, 4)), ("drug_seq", "indi_drug_seq", (2012, 4))],
     "ther": [("isr", "primaryid", (2012, 4)), ("drug_seq", "dsg_drug_seq", (2012, 4))],
 }
-#: Names of one odd quarter.
+# Names of one odd quarter.
 ODD = {(2012, 4): {"drug": [("lot_nbr", "lot_num")], "outc": [("outc_code", "outc_cod")]}}
 
 
