@@ -46,7 +46,7 @@ ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
 BATCH = 16
 MISS = 1e-6
-BLOCK = 128
+BLOCK = 256
 SLICE = 1 << 19
 
 _rng = np.random.default_rng(20240607)
@@ -326,7 +326,7 @@ def _exact_links(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch
 _PLACE = ("key", "lo", "hi", "block", "band", "rep", "comp")
 
 
-def _mixed_blocks(members: DataFrame, comps: DataFrame) -> DataFrame:
+def _mixed_blocks(members: DataFrame, comps: DataFrame, signed: DataFrame) -> DataFrame:
     """Members of buckets that hold several components, dealt to pairs of blocks by component."""
     placed = members.join(comps, members["rep"] == comps["node"], "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     placed = stage(placed, "placed")
@@ -342,16 +342,17 @@ def _mixed_blocks(members: DataFrame, comps: DataFrame) -> DataFrame:
     majors = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda i: -1 - i)
     return (
         held.join(split, "key")
+        .join(signed, "rep")
         .withColumn("block", block)
         .withColumn("other", F.explode(F.when(is_major, others).otherwise(F.concat(others, majors))))
-        .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "band", "rep", "comp")
+        .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "band", "rep", "comp", "sig")
     )
 
 
 def _last_links(members: DataFrame, comps: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
     """Verified links among what is still open, block by block."""
     kinds = "key long, lo int, hi int, block int, band int, rep long, comp long"
-    dealt = _mixed_blocks(members, comps).join(signed, "rep").select(*_PLACE, "sig").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    dealt = _mixed_blocks(members, comps, signed).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     left = stage(dealt.mapInArrow(_by_block(_open_members), kinds), "open")
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
     rows = left.hint("merge").join(texts, "rep").select(*_PLACE, "text").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")

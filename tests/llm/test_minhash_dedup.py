@@ -134,8 +134,8 @@ def test_block_rows_grow_in_proportion(spark, monkeypatch):
     """Near copies of one text and some half copies share buckets; twice the copies, about twice the rows."""
     made = []
 
-    def counted(members, comps, plain=M._mixed_blocks):
-        rows = plain(members, comps)
+    def counted(members, comps, signed, plain=M._mixed_blocks):
+        rows = plain(members, comps, signed)
         made.append((members.count(), rows.count()))
         return rows
 
