@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..shared import drop_staged, new_path, scope, stage
 
-__all__ = ["buffer_of", "bucket_placer", "by_size", "drop_staged", "fold", "meet", "new_path", "partitions", "read_documents", "scope", "small_batches", "stage", "text_column"]
+__all__ = ["buffer_of", "bucket_placer", "by_size", "drop_staged", "fold", "give_back", "meet", "new_path", "partitions", "read_documents", "scope", "small_batches", "stage", "text_column"]
 
 
 #: Rows of a batch that Spark hands to Python: the operators slice batches by bytes, so larger ones only cost memory.
@@ -45,8 +46,22 @@ def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a Python worker outlives its tasks, and each would add to what the ones before left."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
 def by_size(batches: Iterator[pa.RecordBatch], limit: int, name: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches into slices of about ``limit`` bytes of text, one row at least."""
+    """Cut batches into slices of about ``limit`` bytes of text, one row at least.  What earlier work of the process freed is given back before and after."""
+    give_back()
+    yield from _slices(batches, limit, name)
+    give_back()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], limit: int, name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue

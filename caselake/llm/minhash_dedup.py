@@ -47,7 +47,7 @@ HASHES = ROWS * BANDS
 BATCH = 16
 MISS = 1e-6
 BLOCK = 256
-SLICE = 1 << 19
+SLICE = 1 << 18
 
 _rng = np.random.default_rng(20240607)
 _FACTORS = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -40,7 +40,7 @@ CACHE = 250_000
 KEEP_HITS = 4
 #: How many chunks go through the forward pass together.
 TOGETHER = 4096
-SLICE = 2 << 20
+SLICE = 1 << 19
 SCHEMA = (
     "doc_id long, n_pieces long, scores array<double>, ids_crc32 long, decoded boolean, "
     "n_best_pieces array<long>, n_best_crc32 array<long>, n_best_decoded array<boolean>"
