@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..shared import drop_staged, new_path, scope, stage
 
-__all__ = ["buffer_of", "bucket_placer", "by_size", "drop_staged", "fold", "give_back", "meet", "new_path", "partitions", "read_documents", "scope", "small_batches", "stage", "text_column"]
+__all__ = ["buffer_of", "bucket_placer", "by_size", "drop_staged", "fold", "give_back", "meet", "new_path", "partitions", "read_documents", "scope", "slices", "small_batches", "stage", "text_column"]
 
 
 #: Rows of a batch that Spark hands to Python: the operators slice batches by bytes, so larger ones only cost memory.
@@ -55,13 +55,14 @@ def give_back() -> None:
 
 
 def by_size(batches: Iterator[pa.RecordBatch], limit: int, name: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches into slices of about ``limit`` bytes of text, one row at least.  What earlier work of the process freed is given back before and after."""
+    """``slices`` of a task's input.  What earlier work of the process freed is given back before and after."""
     give_back()
-    yield from _slices(batches, limit, name)
+    yield from slices(batches, limit, name)
     give_back()
 
 
-def _slices(batches: Iterator[pa.RecordBatch], limit: int, name: str) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], limit: int, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Cut batches into slices of about ``limit`` bytes of text, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesops as B
-from .common import buffer_of, by_size, drop_staged, scope, stage, text_column
+from .common import buffer_of, by_size, drop_staged, scope, slices, stage, text_column
 from .components import connected_components
 
 WIDTH = 5
@@ -291,7 +291,7 @@ def _distinct_sets(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
     """(sorted distinct shingle hashes of each text, signatures), by slices."""
     sets: list[np.ndarray] = []
     sigs = [np.zeros((0, HASHES), np.uint32)]
-    for batch in by_size(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), SLICE):
+    for batch in slices(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), SLICE):
         found = shingles(*buffer_of(text_column(batch)))
         cuts = np.searchsorted(found.text, np.arange(batch.num_rows + 1))
         sets += [np.unique(found.hashes[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]

@@ -6,14 +6,17 @@ several widths slide over the words of the whole text, each keeps its largest re
 and a logistic layer scores those.  A threshold for each language (predicted from the text by
 operator 9) is subtracted from the logit, so 0.5 is the calibrated cut in each language.
 
-Training reads a bounded sample: PER_CLASS rows of each label in expectation, chosen by a hash of
-doc_id, and of these as many as have SAMPLE_WORDS words in all, half for each label; what reaches the driver is hashed words,
-never texts.  A fifth of them, dealt by language and
-label, only sets the thresholds, weighted back to the true share of each label.  Each language's threshold
+Training goes over every labelled row.  Rows are dealt to groups of about GROUP_BYTES of text by a
+hash of doc_id; a group's hashed words lie in one row of a staged table.  The descent starts in one group,
+on rows with START_WORDS words at most, half for each label, and then takes ROUNDS rounds: in each, every
+group goes through all its rows from the common network, and the networks are averaged, an embedding over the groups that moved
+it.  Sums are of integers, so results don't depend on partitioning.  A fifth of each group's rows, dealt by language and label, isn't
+trained on; all these rows set the thresholds, on logits in steps of 1 / LOGIT_STEPS.  Each language's threshold
 has the least error on its own rows and on those of all languages, which together count as much as
-PULL rows of the rarer label; a language without any spare row has the pooled threshold.  Only embeddings that training moved
-are kept and sent out, so the model's size is bounded by the sample.  The language of a text is predicted by a model that
-learns from ``lang`` of the sampled rows; a score never reads the column.
+PULL rows of the rarer label; a language without any spare row has the pooled threshold.  The model's size is bounded by the
+numbers of buckets, whatever the input; only embeddings that training moved are kept and sent out.  The language of a text is
+predicted from its words and their first letters, with frequencies counted over every labelled row that has a ``lang``; a score
+never reads the column.
 
 Defined results: null and empty texts score as a text without words (all responses at their
 bias); a null id is never learned from and counts as not held out; without labels of both
@@ -24,28 +27,34 @@ against); repeated rows score alike; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from . import bytesops as B
-from . import language_id
-from .common import buffer_of, by_size, meet, stage, text_column
-
-PER_CLASS = 2_500
-SAMPLE_WORDS = 3_000_000
-LANGUAGE_SAMPLE = 3_000
-BUCKETS = 1 << 20
+from .common import buffer_of, by_size, give_back, meet, scope, stage, text_column
+
+GROUP_BYTES = 8 << 20
+MEET_ROWS = 1 << 20  # labelled ids that are sent to the texts; if more, both are shuffled
+START_WORDS = 1_000_000
+ROUNDS = 2
+LOGIT_STEPS = 1024
+BUCKETS = 1 << 18
+TONGUE_BUCKETS = 1 << 16
+REACH = 6.0  # largest difference in log frequency that one word can make
 DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 STEM = 4  # letters in a word's stem
 EPOCHS, BATCH, RATE = 5, 32, 0.1
 LEAST_STEPS = 800  # small samples are gone through more often
 PULL = 5
-SLICE = 1 << 19
+SLICE = 1 << 18
 SCHEMA = "doc_id long, language string, score double"
+_GROUP = "group int, words binary, counts array<int>, labels array<int>, langs array<string>"
+_UNIT = float(1 << 36)  # parameters are summed as whole numbers of 1 / _UNIT
 
 _HASH_SALTS = (0x51, 0xA3, 0x1F7)
 _LEAD = max(WIDTHS) - 1  # windows may begin so far behind the last word
@@ -70,6 +79,8 @@ class Network:
     bias: np.ndarray  # of each filter
     out: np.ndarray
     intercept: float
+    moved: np.ndarray | None = None  # Adagrad's sums, by embedding
+    sums: dict[str, np.ndarray] | None = None  # and of the other parameters
 
     def rows(self, buckets: np.ndarray) -> np.ndarray:
         if not len(self.buckets):
@@ -117,30 +128,46 @@ def logits(net: Network, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return (pooled @ net.out + net.intercept).astype(np.float64)
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Network:
-    """Fit by Adagrad; gradients reach only the windows that won the pooling."""
+def _first_embeddings(buckets: np.ndarray) -> np.ndarray:
+    """Small numbers that are the same for a bucket wherever it is met."""
+    lots = B.mix(buckets.astype(np.uint64)[:, None] * np.uint64(DIM) + np.arange(DIM, dtype=np.uint64)) >> np.uint64(11)
+    return ((lots.astype(np.float64) / (1 << 53) - 0.5) * 0.05 * 12**0.5).astype(np.float32)
+
+
+def train(texts: list[np.ndarray], labels: np.ndarray, seed: int | tuple[int, ...] = 7, start: Network | None = None, epochs: int | None = None) -> Network:
+    """Fit by Adagrad, from ``start`` if given; gradients reach only the windows that won the pooling.
+
+    The result has the embeddings that moved here."""
     rng = np.random.default_rng(seed)
     counts = np.array([len(t) for t in texts])
-    buckets = np.unique(np.concatenate(texts)) if counts.sum() else np.zeros(0, np.int64)
+    buckets = np.unique(np.concatenate(texts)).astype(np.int64) if counts.sum() else np.zeros(0, np.int64)
     n_filters = len(WIDTHS) * FILTERS
-    net = Network(
-        buckets,
-        np.vstack([rng.normal(0, 0.05, (len(buckets), DIM)), np.zeros((1, DIM))]).astype(np.float32),
-        rng.normal(0, 0.4, (DIM, sum(WIDTHS) * FILTERS)).astype(np.float32),
-        np.full(n_filters, 0.05, np.float32),
-        np.where(np.arange(n_filters) % 4 == 3, -0.5, 0.5).astype(np.float32),
-        0.0,
-    )
+    embeddings = np.vstack([_first_embeddings(buckets), np.zeros((1, DIM), np.float32)])
+    moved = np.zeros(len(embeddings), np.float32)
+    if start is None:
+        net = Network(
+            buckets,
+            embeddings,
+            rng.normal(0, 0.4, (DIM, sum(WIDTHS) * FILTERS)).astype(np.float32),
+            np.full(n_filters, 0.05, np.float32),
+            np.where(np.arange(n_filters) % 4 == 3, -0.5, 0.5).astype(np.float32),
+            0.0,
+        )
+        sums = {k: np.full_like(getattr(net, k), 1e-6) for k in ("filters", "bias", "out")} | {"intercept": np.full(1, 1e-6, np.float32)}
+    else:
+        at = start.rows(buckets)
+        known = np.flatnonzero(at < len(start.buckets))
+        embeddings[known], moved[known] = start.embeddings[at[known]], start.moved[at[known]]
+        net = replace(start, buckets=buckets, embeddings=embeddings)
+        sums = {k: v.copy() for k, v in start.sums.items()}
     rows = [net.rows(t) for t in texts]
-    sums = {k: np.full_like(getattr(net, k), 1e-6) for k in ("filters", "bias", "out")}
-    moved = np.zeros(len(net.embeddings), np.float32)
-    intercept_sum = 1e-6
+    shifted = np.zeros(len(embeddings), bool)
 
     def descend(name: str, gradient: np.ndarray) -> None:
         sums[name] += gradient**2
         setattr(net, name, (getattr(net, name) - RATE * gradient / np.sqrt(sums[name])).astype(np.float32))
 
-    for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // max(len(texts), 1) + 1)):
+    for _ in range(epochs or max(EPOCHS, LEAST_STEPS * BATCH // max(len(texts), 1) + 1)):
         order = rng.permutation(len(texts))
         for lo in range(0, len(order), BATCH):
             pick = order[lo : lo + BATCH]
@@ -173,8 +200,8 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Network
             descend("out", (pooled * error[:, None]).sum(axis=0))
             descend("bias", back.sum(axis=0))
             descend("filters", d_filters)
-            intercept_sum += error.sum() ** 2
-            net.intercept -= RATE * error.sum() / np.sqrt(intercept_sum)
+            sums["intercept"] += error.sum() ** 2
+            net.intercept -= float(RATE * error.sum() / np.sqrt(sums["intercept"][0]))
             at, push = word_at[np.concatenate(touched)], np.concatenate(pushes)
             at, push = at[at >= 0], push[at >= 0]
             target = flat[at].ravel()
@@ -184,10 +211,10 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Network
             size = (gradient**2).sum(axis=1)
             live = size > 0
             moved[hit[live]] += size[live]
+            shifted[hit[live]] = True
             net.embeddings[hit[live]] -= (RATE * gradient[live] / np.sqrt(moved[hit[live]] + 1e-8)[:, None]).astype(np.float32)
-    keep = np.flatnonzero(moved[:-1] > 0)
-    net.buckets, net.embeddings = net.buckets[keep], np.vstack([net.embeddings[keep], np.zeros((1, DIM), np.float32)])
-    return net
+    keep = np.flatnonzero(shifted[:-1])
+    return replace(net, buckets=net.buckets[keep], embeddings=np.vstack([net.embeddings[keep], np.zeros((1, DIM), np.float32)]), moved=moved[keep], sums=sums)
 
 
 def best_cut(values: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
@@ -211,7 +238,7 @@ def spare_rows(names: np.ndarray, labels: np.ndarray) -> np.ndarray:
 
 def language_cuts(values: np.ndarray, labels: np.ndarray, weights: np.ndarray, names: np.ndarray) -> dict[str, float]:
     """The threshold of each language, drawn to the pooled one ("") as far as its rows are few."""
-    rarer = min(np.count_nonzero(labels == k) for k in (0, 1))
+    rarer = min(weights[labels == k].sum() for k in (0, 1))
     if not rarer:
         return {"": 0.0}
     cuts = {"": best_cut(values, labels, weights)}
@@ -220,36 +247,34 @@ def language_cuts(values: np.ndarray, labels: np.ndarray, weights: np.ndarray, n
     return cuts
 
 
+@dataclass
+class Tongues:
+    langs: list[str]
+    weights: np.ndarray  # a row of centred log frequencies for each bucket of words, then of stems
+
+
 @dataclass
 class Classifier:
     network: Network | None
-    languages: language_id.Model | None
+    languages: Tongues | None
     cuts: dict[str, float]
 
 
-def _sample_batches(model: language_id.Model) -> Callable:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, SLICE):
-            data, offsets = buffer_of(text_column(batch))
-            buckets, counts = hashed_words(data, offsets)
-            ends = np.cumsum(counts)
-            packed = [buckets[e - c : e].astype(np.int32).tobytes() for e, c in zip(ends, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.int32()), pa.array(_languages(model, data, offsets), pa.string()), pa.array(packed, pa.binary())],
-                names=["doc_id", "label", "language", "words"],
-            )
-
-    return rows
+def _tongue_buckets(words: np.ndarray) -> np.ndarray:
+    """Two rows of ``Tongues.weights`` for each word: its own and its stem's."""
+    return words[:, [0, 2]].astype(np.int64) % TONGUE_BUCKETS + np.array([0, TONGUE_BUCKETS])
 
 
-def _languages(model: language_id.Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _languages(model: Tongues, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     if not model.langs:
-        return np.full(len(offsets) - 1, "und", object)
-    sums, words = language_id.evidence(model, data, offsets)
-    return np.where(words > 0, np.array(model.langs, object)[sums.argmax(axis=1)], "und")
+        return np.full(len(counts), "und", object)
+    total = np.zeros((len(words) + 1, len(model.langs)))
+    np.cumsum(model.weights[_tongue_buckets(words)].sum(axis=1), axis=0, out=total[1:])
+    ends = np.cumsum(counts)
+    return np.where(counts > 0, np.array(model.langs, object)[(total[ends] - total[ends - counts]).argmax(axis=1)], "und")
 
 
-def within_words(rows: list, most: int = SAMPLE_WORDS) -> list[tuple[int, int]]:
+def within_words(rows: list, most: int = START_WORDS) -> list[tuple[int, int]]:
     """For labels 0 and 1, the range of lots from the least on whose rows (doc_id, label, lot, n) hold half of ``most`` words at most."""
     out = []
     for label in (0, 1):
@@ -259,44 +284,192 @@ def within_words(rows: list, most: int = SAMPLE_WORDS) -> list[tuple[int, int]]:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Classifier:
-    """Learn from the rows of ``labels`` (doc_id, label 0 or 1) and their texts and languages in ``docs``."""
-    known = labels.select("doc_id", "label").dropna().dropDuplicates(["doc_id"])
-    sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not (sizes.get(0) and sizes.get(1)):
-        return Classifier(None, None, {})
-    shares = {k: min(1.0, per_class / sizes[k]) for k in (0, 1)}
-    lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = known.where(lot < F.when(F.col("label") == 1, shares[1]).otherwise(shares[0]))
-    rows = meet(docs.where(lot < max(shares.values())), picked, 8 * per_class)
-    spoken = language_id.fit(rows, LANGUAGE_SAMPLE)
-    sampled = stage(rows.select("doc_id", "text", "label").mapInArrow(_sample_batches(spoken), "doc_id long, label int, language string, words binary"), "sample")
-    chosen = within_words(sampled.select("doc_id", "label", F.xxhash64("doc_id").alias("lot"), (F.octet_length("words") / 12).cast("long").alias("n")).collect())
-    table = sampled.where(F.xxhash64("doc_id").between(*chosen[0]) & (F.col("label") == 0) | F.xxhash64("doc_id").between(*chosen[1]) & (F.col("label") == 1)).toArrow().sort_by("doc_id")
-    texts = [np.frombuffer(w, np.int32).reshape(-1, 3) for w in table["words"].to_pylist()]
-    y = table["label"].to_numpy().astype(float)
-    names = np.array(table["language"].to_pylist(), object)
-    spare = spare_rows(names, y)
-    if len(np.unique(y[~spare])) < 2:
-        return Classifier(None, None, {})
-    net = train([t for t, s in zip(texts, spare, strict=True) if not s], y[~spare])
-    held = [t for t, s in zip(texts, spare, strict=True) if s]
-    values = np.concatenate([np.zeros(0), *(logits(net, t, np.array([len(t)])) for t in held)])
-    weights = np.where(y[spare] == 1, 1 / shares[1], 1 / shares[0])
-    cuts = language_cuts(values, y[spare], weights, names[spare])
-    return Classifier(net, spoken, cuts)
+def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as hashed words: a word's three buckets in 64 bits."""
+    for batch in by_size(batches, SLICE):
+        words, counts = hashed_words(*buffer_of(text_column(batch)))
+        packed = (words % BUCKETS << np.array([0, 20, 40])).sum(axis=1)
+        ends = np.cumsum(counts)
+        column = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: B023, E731
+        yield pa.RecordBatch.from_arrays(
+            [column("group"), column("doc_id"), column("label"), column("lang"), pa.array([packed[e - c : e].tobytes() for e, c in zip(ends, counts, strict=True)], pa.binary())],
+            names=["group", "doc_id", "label", "lang", "words"],
+        )
+
+
+def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each group of rows that are sorted by group."""
+
+    def bundled(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts)
+        words = table["words"].to_pylist()
+        lists = [pa.array([x], kind) for x, kind in (([len(w) // 8 for w in words], pa.list_(pa.int32())), (table["label"].to_pylist(), pa.list_(pa.int32())), (table["lang"].to_pylist(), pa.list_(pa.string())))]
+        return pa.RecordBatch.from_arrays([pa.array([table["group"][0].as_py()], pa.int32()), pa.array([b"".join(words)], pa.binary()), *lists], names=["group", "words", "counts", "labels", "langs"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        group = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi > lo:
+                if held and held[0].column(0)[0].as_py() != group[lo]:
+                    yield bundled(held)
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield bundled(held)
+    give_back()
+
+
+@dataclass
+class Group:
+    number: int
+    words: np.ndarray
+    counts: np.ndarray
+    labels: np.ndarray
+    langs: list[str | None]
+
+    def texts(self, which: np.ndarray) -> list[np.ndarray]:
+        ends = np.cumsum(self.counts)
+        return [self.words[ends[i] - self.counts[i] : ends[i]] for i in np.flatnonzero(which)]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Group]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            number, words, counts, labels, langs = (column[i] for column in batch.columns)
+            packed = np.frombuffer(words.as_buffer(), np.int64)
+            spread = np.stack([(packed >> 20 * k & (1 << 20) - 1) + k * BUCKETS for k in range(3)], axis=1).astype(np.int32)
+            yield Group(number.as_py(), spread, counts.values.to_numpy(), labels.values.to_numpy().astype(float), langs.as_py())
+    give_back()
+
+
+def _tongue_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for group in _groups(batches):
+        owner = np.repeat(np.array([x or "" for x in group.langs], object), group.counts)
+        for lang in sorted({x for x in group.langs if x}):
+            at, n = np.unique(_tongue_buckets(group.words[owner == lang]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n)], names=["lang", "bucket", "n"])
+
+
+def _tongues(groups: DataFrame) -> Tongues:
+    """Frequencies of words and stems by language, over all rows with a language."""
+    table = groups.mapInArrow(_tongue_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    names = np.array(table["lang"].to_pylist(), object)
+    langs = sorted(set(names.tolist()))
+    seen = np.zeros((2, TONGUE_BUCKETS, max(len(langs), 1)))
+    for k, lang in enumerate(langs):
+        own = names == lang
+        seen.reshape(2 * TONGUE_BUCKETS, -1)[table["bucket"].to_numpy()[own], k] = table["n"].to_numpy()[own]
+    kinds = np.maximum(seen.any(axis=2).sum(axis=1), 1)
+    logs = np.log((seen + 0.5) / (seen.sum(axis=1) + 0.5 * kinds[:, None])[:, None, :])
+    logs[~seen.any(axis=2)] = 0  # a bucket never met speaks for no language
+    return Tongues(langs, np.clip(logs - logs.mean(axis=2, keepdims=True), -REACH, REACH).reshape(2 * TONGUE_BUCKETS, -1).astype(np.float32))
+
+
+_DENSE = ("filters", "bias", "out")
+_VALUES = [f"v{k}" for k in range(DIM)]
+_PARAMETERS = "key int, moved long, " + ", ".join(f"{v} long" for v in _VALUES)
+
+
+def _parameters(net: Network) -> pa.RecordBatch:
+    """A network as rows of DIM whole numbers: embeddings by bucket, all else and its sums under keys from -1 down."""
+    dense = np.concatenate([x for own in ({k: getattr(net, k) for k in _DENSE} | {"intercept": np.array([net.intercept])}, net.sums) for x in (*(own[k].ravel() for k in _DENSE), own["intercept"])])
+    dense = np.pad(dense, (0, -len(dense) % DIM)).reshape(-1, DIM)
+    whole = lambda x: np.rint(x.astype(np.float64) * _UNIT).astype(np.int64)
+    keys = np.concatenate([-1 - np.arange(len(dense)), net.buckets]).astype(np.int32)
+    values = whole(np.vstack([dense, net.embeddings[:-1]]))
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(whole(np.concatenate([np.zeros(len(dense)), net.moved]))), *(pa.array(v.copy()) for v in values.T)], names=["key", "moved", *_VALUES])
+
+
+def _descend(net: Network | None, spoken: Tongues, turn: int) -> Callable:
+    """Each group's network after one pass over its rows, or, without one to begin with, trained on some of them."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            own = ~spare_rows(_languages(spoken, group.words, group.counts), group.labels)
+            if net is None:
+                chosen = within_words([Row(label=int(y), lot=i, n=int(n)) for i, (y, n) in enumerate(zip(group.labels, group.counts, strict=True)) if own[i]])
+                lot = np.arange(len(own))
+                own &= np.logical_or.reduce([(group.labels == k) & (lot >= lo) & (lot <= hi) for k, (lo, hi) in enumerate(chosen)])
+            if own.any():
+                yield _parameters(train(group.texts(own), group.labels[own], (7, turn, group.number), net, net and 1))
+
+    return rows
+
+
+def _averaged(parts: DataFrame, before: Network | None) -> Network | None:
+    """The mean of the groups' networks; an embedding counts where it moved, and stays what it was where it moved nowhere."""
+    mean = lambda c: (F.sum(c) / (F.count("*") * F.lit(_UNIT))).cast("float").alias(c)
+    table = parts.groupBy("key").agg(*(mean(c) for c in ("moved", *_VALUES))).toArrow().sort_by([("key", "descending")])
+    if not table.num_rows:
+        return before
+    keys, values, moved = table["key"].to_numpy(), np.stack([table[v].to_numpy() for v in _VALUES], axis=1), table["moved"].to_numpy()
+    flat, n = values[keys < 0].ravel(), len(WIDTHS) * FILTERS
+    sizes = [DIM * sum(WIDTHS) * FILTERS, n, n, 1] * 2
+    parts_of = np.split(flat[: sum(sizes)], np.cumsum(sizes)[:-1])
+    shape = lambda x: x.reshape(DIM, -1)
+    buckets, embeddings, moved = keys[keys >= 0][::-1].astype(np.int64), values[keys >= 0][::-1], moved[keys >= 0][::-1]
+    if before is not None:
+        old = ~np.isin(before.buckets, buckets)
+        buckets, embeddings, moved = np.append(buckets, before.buckets[old]), np.vstack([embeddings, before.embeddings[:-1][old]]), np.append(moved, before.moved[old])
+        order = np.argsort(buckets)
+        buckets, embeddings, moved = buckets[order], embeddings[order], moved[order]
+    sums = dict(zip((*_DENSE, "intercept"), (shape(parts_of[4]), *parts_of[5:]), strict=True))
+    return Network(buckets, np.vstack([embeddings, np.zeros((1, DIM), np.float32)]), shape(parts_of[0]), parts_of[1], parts_of[2], float(parts_of[3][0]), moved, sums)
+
+
+def _spare_logits(net: Network, spoken: Tongues) -> Callable:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            names = _languages(spoken, group.words, group.counts)
+            spare = spare_rows(names, group.labels)
+            values = np.concatenate([np.zeros(0), *(logits(net, t, np.array([len(t)])) for t in group.texts(spare))])
+            steps = np.floor(np.clip(values, -50, 50) * LOGIT_STEPS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(names[spare], pa.string()), pa.array(group.labels[spare].astype(np.int32)), pa.array(steps)], names=["language", "label", "step"])
+
+    return rows
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
+    """Learn from all rows of ``labels`` (doc_id, label 0 or 1) and their texts and languages in ``docs``."""
+    nothing = Classifier(None, None, {})
+    with scope():
+        known = labels.select("doc_id", "label").dropna().dropDuplicates(["doc_id"])
+        rows = meet(docs.select("doc_id", "text", "lang"), known, MEET_ROWS)
+        sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n")).collect()}
+        if not {0, 1} <= set(sizes):
+            return nothing
+        n = max(1, ceil(sum(sizes.values()) / GROUP_BYTES))
+        hashed = rows.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).mapInArrow(_hash_batches, "group int, doc_id long, label int, lang string, words binary")
+        groups = stage(hashed.repartition(n, "group").sortWithinPartitions("group", "doc_id", "words").mapInArrow(_bundle, _GROUP), "groups")
+        spoken = _tongues(groups)
+        first = groups.agg(F.min("group")).first()[0]
+        net = _averaged(groups.where(F.col("group") == first).mapInArrow(_descend(None, spoken, 0), _PARAMETERS), None)
+        for turn in range(ROUNDS if net else 0):
+            net = _averaged(groups.mapInArrow(_descend(net, spoken, turn + 1), _PARAMETERS), net)
+        if net is None:
+            return nothing
+        net = replace(net, moved=None, sums=None)
+        table = groups.mapInArrow(_spare_logits(net, spoken), "language string, label int, step int").groupBy("language", "label", "step").agg(F.count("*").alias("n")).toArrow()
+    values, marks, names = (table["step"].to_numpy() + 0.5) / LOGIT_STEPS, table["label"].to_numpy(), np.array(table["language"].to_pylist(), object)
+    return Classifier(net, spoken, language_cuts(values, marks, table["n"].to_numpy().astype(float), names))
+
+
+def _score_batch(model: Classifier, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(language, score) of each row."""
+    if model.network is None:
+        return np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
+    words, counts = hashed_words(*buffer_of(text_column(batch)))
+    names = _languages(model.languages, words, counts)
+    cut = np.array([model.cuts.get(x, model.cuts[""]) for x in names])
+    return names, 1 / (1 + np.exp(-np.clip(logits(model.network, words, counts) - cut, -50, 50)))
 
 
 def scorer(model: Classifier) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_size(batches, SLICE):
-            data, offsets = buffer_of(text_column(batch))
-            if model.network is None:
-                names, score = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
-            else:
-                names = _languages(model.languages, data, offsets)
-                cut = np.array([model.cuts.get(x, model.cuts[""]) for x in names])
-                score = 1 / (1 + np.exp(-np.clip(logits(model.network, *hashed_words(data, offsets)) - cut, -50, 50)))
+            names, score = _score_batch(model, batch)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "language", "score"])
 
     return rows
@@ -309,13 +482,9 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Classifier) -> DataFrame:
     """The rows of ``docs`` that score under 0.5, with all their columns; no exchange."""
-    position = docs.columns.index("doc_id"), docs.columns.index("text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score_rows = scorer(model)
         for batch in by_size(batches, SLICE):
-            pair = pa.RecordBatch.from_arrays([batch.column(i) for i in position], names=["doc_id", "text"])
-            scores = np.concatenate([part.column(2).to_numpy() for part in score_rows(iter([pair]))])
-            yield batch.filter(pa.array(scores < 0.5))
+            yield batch.filter(pa.array(_score_batch(model, batch)[1] < 0.5))
 
     return docs.mapInArrow(rows, docs.schema)
